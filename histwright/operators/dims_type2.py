@@ -148,11 +148,43 @@ def apply_snapshot(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
 
 
 # --- step by step ---------------------------------------------------------------------------
+#
+# Each step joins the whole history once with the staged snapshot on the key and
+# re-emits every history row (possibly rewritten) plus the rows the step adds,
+# so a chain of steps stays a linear plan: one join per step, where the single
+# pass needs one join per run.
 
 def _stg(stg: DataFrame, spec: DimSpec) -> DataFrame:
     return split_null_keys(stg.select(*spec.columns, "update_dt"), spec)[0]
 
 
+def _join_stg(hist: DataFrame, stg: DataFrame, spec: DimSpec, how: str) -> DataFrame:
+    s = _stg(stg, spec).select(F.col(spec.key).alias("_sk"),
+                               F.struct(*spec.attrs, "update_dt").alias("s"))
+    return hist.select(*spec.history_columns).join(s, F.col(spec.key) == F.col("_sk"), how)
+
+
+def _hist_row(spec: DimSpec, frm: Column | None = None, to: Column | None = None) -> Column:
+    return _version(spec, F.col(spec.key), [F.col(a) for a in spec.attrs],
+                    F.col("effective_from") if frm is None else frm,
+                    F.col("effective_to") if to is None else to, F.col("deleted_flg"))
+
+
+def _staged_row(spec: DimSpec, key: Column | None = None) -> Column:
+    s = F.col("s")
+    return _version(spec, F.col(spec.key) if key is None else key, [s[a] for a in spec.attrs],
+                    s["update_dt"], open_end(), F.lit(FLAG_LIVE))
+
+
+def _emit(j: DataFrame, *rows: Column) -> DataFrame:
+    return j.select(F.inline(F.array_compact(F.array(*rows))))
+
+
+def _changed_vs_stg(spec: DimSpec) -> Column:
+    return row_changed(spec.attrs, left_cols=[F.col(a) for a in spec.attrs],
+                       right_cols=[F.col("s")[a] for a in spec.attrs])
+
+
 def insert_versions(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
     """Rows for staged keys unknown to every version: open, live, from ``update_dt``."""
     new = _stg(stg, spec).join(hist.select(spec.key), spec.key, "left_anti")
@@ -160,60 +192,50 @@ def insert_versions(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame
                       open_end().alias("effective_to"), F.lit(FLAG_LIVE).alias("deleted_flg"))
 
 
-def _set_on_open(hist: DataFrame, hits: DataFrame, spec: DimSpec, flag: str | None,
-                 **updates) -> DataFrame:
-    """Update-from-join: rewrite the open version of each key in ``hits``.
+def _insert_step(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
+    j = _join_stg(hist, stg, spec, "full_outer")
+    known = F.col("effective_to").isNotNull()
+    return _emit(j, F.when(known, _hist_row(spec)),
+                 F.when(~known, _staged_row(spec, F.col("_sk"))))
 
-    ``updates`` maps an interval column to a function of the ``hits`` columns.
-    A left join plus ``when``: Parquet tables have no UPDATE.
-    """
-    h = hits.select(F.col(spec.key).alias("_hk"), *[c for c in hits.columns if c != spec.key])
-    j = hist.join(h, F.col(spec.key) == F.col("_hk"), "left")
-    hit = F.col("_hk").isNotNull() & is_open()
-    if flag is not None:
-        hit = hit & (F.col("deleted_flg") == F.lit(flag))
-    out = [F.when(hit, updates[c]()).otherwise(F.col(c)).cast(TS).alias(c) if c in updates
-           else F.col(c) for c in spec.history_columns]
-    return j.select(*out)
 
+def close_changed(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
+    """History with each open version whose attributes changed closed at ``update_dt - 1 s``.
 
-def _changed_open(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
-    s, t = _stg(stg, spec).alias("s"), hist.where(is_open()).alias("t")
-    return (s.join(t, F.col(f"s.{spec.key}") == F.col(f"t.{spec.key}"))
-            .where(row_changed(spec.attrs, "s", "t"))
-            .select(F.col(f"s.{spec.key}").alias(spec.key), F.col("s.update_dt")))
+    No test on ``deleted_flg``: a tombstone whose key comes back changed is closed too.
+    """
+    j = _join_stg(hist, stg, spec, "left")
+    hit = is_open() & F.col("s").isNotNull() & _changed_vs_stg(spec)
+    to = F.when(hit, minus_seconds(F.col("s")["update_dt"], 1)).otherwise(F.col("effective_to"))
+    return _emit(j, _hist_row(spec, to=to))
 
 
-def close_changed(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
-    """History with each open version whose attributes changed closed at ``update_dt - 1 s``."""
-    hits = _changed_open(hist, stg, spec)
-    return _set_on_open(hist, hits, spec, None,
-                        effective_to=lambda: minus_seconds(F.col("update_dt"), 1))
+def _opens(spec: DimSpec) -> Column:
+    s = F.col("s")
+    return (s.isNotNull() & (F.col("effective_to") == minus_seconds(s["update_dt"], 1))
+            & _changed_vs_stg(spec))
 
 
 def open_changed(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
     """Replacement versions: staged rows whose key has a version closed at ``update_dt - 1 s``
     with different attributes (run after ``close_changed``)."""
-    s, t = _stg(stg, spec).alias("s"), hist.alias("t")
-    cond = ((F.col(f"s.{spec.key}") == F.col(f"t.{spec.key}"))
-            & (F.col("t.effective_to") == minus_seconds(F.col("s.update_dt"), 1)))
-    rows = s.join(t, cond).where(row_changed(spec.attrs, "s", "t"))
-    return rows.select(*[F.col(f"s.{c}").alias(c) for c in spec.columns],
-                       F.col("s.update_dt").cast(TS).alias("effective_from"),
-                       open_end().alias("effective_to"), F.lit(FLAG_LIVE).alias("deleted_flg"))
+    j = _join_stg(hist, stg, spec, "inner")
+    return _emit(j, F.when(_opens(spec), _staged_row(spec)))
+
+
+def _open_step(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
+    j = _join_stg(hist, stg, spec, "left")
+    return _emit(j, _hist_row(spec), F.when(_opens(spec), _staged_row(spec)))
 
 
 def reopen_returned(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
-    """Default mode only: a tombstoned key that is back unchanged gets a live version."""
-    s, t = _stg(stg, spec).alias("s"), hist.where(
-        is_open() & (F.col("deleted_flg") == F.lit(FLAG_DELETED))).alias("t")
-    back = (s.join(t, F.col(f"s.{spec.key}") == F.col(f"t.{spec.key}"))
-            .where(~row_changed(spec.attrs, "s", "t")).select("s.*"))
-    closed = _set_on_open(hist, back.select(spec.key, "update_dt"), spec, FLAG_DELETED,
-                          effective_to=lambda: minus_seconds(F.col("update_dt"), 1))
-    opened = back.select(*spec.columns, F.col("update_dt").cast(TS).alias("effective_from"),
-                         open_end().alias("effective_to"), F.lit(FLAG_LIVE).alias("deleted_flg"))
-    return closed.unionByName(opened)
+    """Default mode only: a tombstoned key that is back unchanged gets a live version;
+    the tombstone closes at ``update_dt - 1 s``."""
+    j = _join_stg(hist, stg, spec, "left")
+    back = (is_open() & (F.col("deleted_flg") == F.lit(FLAG_DELETED)) & F.col("s").isNotNull()
+            & ~_changed_vs_stg(spec))
+    to = F.when(back, minus_seconds(F.col("s")["update_dt"], 1)).otherwise(F.col("effective_to"))
+    return _emit(j, _hist_row(spec, to=to), F.when(back, _staged_row(spec)))
 
 
 def mark_deleted(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
@@ -224,30 +246,29 @@ def mark_deleted(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
     ``run_ts`` (legacy terminals: see module doc).
     """
     _check_compat(compat)
-    gone = live_rows(hist).join(_stg(stg, spec).select(spec.key), spec.key, "left_anti")
-    ts = run_stamp(run_ts)
+    j = _join_stg(hist, stg, spec, "left")
+    gone = is_open() & (F.col("deleted_flg") == F.lit(FLAG_LIVE)) & F.col("s").isNull()
+    frm, ts = F.col("effective_from"), run_stamp(run_ts)
     if shifts_deletes(spec, compat):
-        tomb_from = plus_days(F.col("effective_from"), 1)
-        upd = dict(effective_from=lambda: minus_days(F.col("effective_from"), 1),
-                   effective_to=lambda: minus_seconds(F.col("effective_from"), 1))
+        old = _hist_row(spec, frm=F.when(gone, minus_days(frm, 1)).otherwise(frm),
+                        to=F.when(gone, minus_seconds(frm, 1)).otherwise(F.col("effective_to")))
+        tomb_from = plus_days(frm, 1)
     else:
+        old = _hist_row(spec, to=F.when(gone, minus_seconds(ts, 1))
+                        .otherwise(F.col("effective_to")))
         tomb_from = ts
-        upd = dict(effective_to=lambda: minus_seconds(ts, 1))
-    tombs = gone.select(*spec.columns, tomb_from.cast(TS).alias("effective_from"),
-                        open_end().alias("effective_to"),
-                        F.lit(FLAG_DELETED).alias("deleted_flg"))
-    closed = _set_on_open(hist, gone.select(spec.key), spec, FLAG_LIVE, **upd)
-    return closed.unionByName(tombs)
+    tomb = _version(spec, F.col(spec.key), [F.col(a) for a in spec.attrs], tomb_from,
+                    open_end(), F.lit(FLAG_DELETED))
+    return _emit(j, old, F.when(gone, tomb))
 
 
 def apply_stepwise(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
                    compat: str = DEFAULT) -> DataFrame:
-    """Same result as ``apply_snapshot``, one step at a time (several joins per step)."""
+    """Same result as ``apply_snapshot``, one step (one join) at a time."""
     _check_compat(compat)
-    hist = hist.select(*spec.history_columns)
-    h = hist.unionByName(insert_versions(hist, stg, spec))
+    h = _insert_step(hist, stg, spec)
     h = close_changed(h, stg, spec)
-    h = h.unionByName(open_changed(h, stg, spec))
+    h = _open_step(h, stg, spec)
     if compat == DEFAULT:
         h = reopen_returned(h, stg, spec)
     return mark_deleted(h, stg, spec, run_ts, compat)
