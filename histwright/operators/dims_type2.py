@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.compare import row_changed
-from ..functions.timefn import minus_days, minus_seconds, plus_days, run_stamp
-from ..schemas import FLAG_DELETED, FLAG_LIVE, TS, DimSpec, open_end
+from ..functions.timefn import minus_days, minus_seconds, plus_days, run_stamp, stamp_text
+from ..schemas import FLAG_DELETED, FLAG_LIVE, OPEN_END_TEXT, TS, DimSpec, open_end
 
 DEFAULT = "default"
 LEGACY = "legacy"
@@ -81,6 +81,13 @@ def _version(spec: DimSpec, key: Column, attrs: list[Column], frm: Column, to: C
     return F.struct(*fields)
 
 
+def _sql_version(spec: DimSpec, key: str, src: str, frm: str, to: str, flag: str) -> str:
+    fields = [f"'{spec.key}', {key}"] + [f"'{a}', {src}.{a}" for a in spec.attrs]
+    fields += [f"'effective_from', CAST({frm} AS TIMESTAMP_NTZ)",
+               f"'effective_to', CAST({to} AS TIMESTAMP_NTZ)", f"'deleted_flg', {flag}"]
+    return f"named_struct({', '.join(fields)})"
+
+
 def snapshot_delta(open_rows: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
                    compat: str = DEFAULT) -> DataFrame:
     """New state of every open version and every staged key, in one join.
@@ -88,7 +95,21 @@ def snapshot_delta(open_rows: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
     ``open_rows`` are the open versions, ``stg`` the snapshot (``key, attrs,
     update_dt``) with unique non-NULL keys. Output rows are history rows: the
     old version as it becomes (unchanged or closed) and, where needed, one new
-    open version (changed, new, returned or tombstone).
+    open version (changed, new, returned or tombstone):
+
+    ======================  ===========================  ==========================
+    case                    old version                  new version
+    ======================  ===========================  ==========================
+    new key                 -                            staged, open, ``N``
+    unchanged, live         unchanged                    -
+    changed (any flag)      closed at update_dt - 1 s    staged, open, ``N``
+    back unchanged (``Y``)  default: closed; legacy: as  default: staged, open
+    missing, live           closed at run_ts - 1 s       copy, open, ``Y``
+    missing, tombstone      unchanged                    -
+    ======================  ===========================  ==========================
+
+    The emission is one SQL expression (an array of at most two structs,
+    ``inline``-d), evaluated inside the join's whole-stage code.
     """
     _check_compat(compat)
     k = spec.key
@@ -99,34 +120,29 @@ def snapshot_delta(open_rows: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
                    F.struct(*[F.col(a) for a in spec.attrs], "update_dt").alias("s"))
     j = o.join(s, "_k", "full_outer")
 
-    key = F.col("_k")
-    oc, sc = F.col("o"), F.col("s")
-    o_attrs = [oc[a] for a in spec.attrs]
-    s_attrs = [sc[a] for a in spec.attrs]
-    o_from, o_to, o_flag = oc["effective_from"], oc["effective_to"], oc["deleted_flg"]
-    upd = sc["update_dt"]
-    del_ts = run_stamp(run_ts)
-    shift = shifts_deletes(spec, compat)
-
-    has_o, has_s = oc.isNotNull(), sc.isNotNull()
-    live = o_flag == F.lit(FLAG_LIVE)
-    changed = row_changed(spec.attrs, left_cols=o_attrs, right_cols=s_attrs)
-    deleted = has_o & ~has_s & live
-    returned = has_o & has_s & ~changed & ~live if compat == DEFAULT else F.lit(False)
-    replaced = has_o & has_s & (changed | returned)
-
-    old_from = F.when(deleted, minus_days(o_from, 1)).otherwise(o_from) if shift else o_from
-    old_to = (F.when(deleted, minus_seconds(o_from, 1) if shift else minus_seconds(del_ts, 1))
-              .when(replaced, minus_seconds(upd, 1))
-              .otherwise(o_to))
-    old_row = F.when(has_o, _version(spec, key, o_attrs, old_from, old_to, o_flag))
-
-    tomb_from = plus_days(o_from, 1) if shift else del_ts
-    new_row = (F.when(~has_o, _version(spec, key, s_attrs, upd, open_end(), F.lit(FLAG_LIVE)))
-               .when(deleted, _version(spec, key, o_attrs, tomb_from, open_end(),
-                                       F.lit(FLAG_DELETED)))
-               .when(replaced, _version(spec, key, s_attrs, upd, open_end(), F.lit(FLAG_LIVE))))
-    return j.select(F.inline(F.array_compact(F.array(old_row, new_row))))
+    ts = f"TIMESTAMP_NTZ'{stamp_text(run_ts)}'"
+    open_ = f"TIMESTAMP_NTZ'{OPEN_END_TEXT}'"
+    sec, day = "INTERVAL 1 SECOND", "INTERVAL 1 DAY"
+    changed = " OR ".join(f"NOT (o.{a} <=> s.{a})" for a in spec.attrs)
+    live = f"o.deleted_flg = '{FLAG_LIVE}'"
+    deleted = f"(o IS NOT NULL AND s IS NULL AND {live})"
+    returned = (f"(o IS NOT NULL AND s IS NOT NULL AND NOT ({changed}) AND NOT {live})"
+                if compat == DEFAULT else "false")
+    replaced = f"(o IS NOT NULL AND s IS NOT NULL AND (({changed}) OR {returned}))"
+    if shifts_deletes(spec, compat):
+        old_from = f"CASE WHEN {deleted} THEN o.effective_from - {day} ELSE o.effective_from END"
+        del_to, tomb_from = f"o.effective_from - {sec}", f"o.effective_from + {day}"
+    else:
+        old_from, del_to, tomb_from = "o.effective_from", f"{ts} - {sec}", ts
+    old_to = (f"CASE WHEN {deleted} THEN {del_to} WHEN {replaced} THEN s.update_dt - {sec} "
+              f"ELSE o.effective_to END")
+    old_row = (f"CASE WHEN o IS NOT NULL THEN "
+               f"{_sql_version(spec, '_k', 'o', old_from, old_to, 'o.deleted_flg')} END")
+    staged_row = _sql_version(spec, "_k", "s", "s.update_dt", open_, f"'{FLAG_LIVE}'")
+    tomb_row = _sql_version(spec, "_k", "o", tomb_from, open_, f"'{FLAG_DELETED}'")
+    new_row = (f"CASE WHEN o IS NULL THEN {staged_row} WHEN {deleted} THEN {tomb_row} "
+               f"WHEN {replaced} THEN {staged_row} END")
+    return j.selectExpr(f"inline(array_compact(array({old_row}, {new_row})))")
 
 
 def apply_snapshot(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,

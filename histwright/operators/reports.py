@@ -14,14 +14,14 @@ keys (one card, account or client may own a large share of all operations):
 
 1. operations are reduced to one row per (card, day) with the few statistics the
    predicates need (latest time, latest time after midnight, any operation at
-   midnight); a partial aggregate runs before the shuffle, so a hot card sends
+   midnight); the partial aggregate runs before the shuffle, so a hot card sends
    one row per day and task, not its operations;
-2. each hop of the chain card -> account -> client joins, then re-aggregates
-   on (next key, day) before the next shuffle;
-3. the blacklist is reduced to the first entry time per passport;
-4. candidate rows are hash partitioned once by (passport, day); the final
-   distinct and the suppression join against earlier report rows both use
-   that partitioning.
+2. the dimension chain card -> account -> client (-> first blacklist entry) is
+   joined on its own into per-card profiles (dimension-sized), so the fact side
+   meets one join, on the card number;
+3. candidate rows are filtered, then hash partitioned once by (passport, day);
+   the final distinct and the suppression join against earlier report rows both
+   use that partitioning.
 
 Joins are plain equi-joins: AQE turns them into broadcasts when a side is
 measured small at run time, and splits skewed partitions otherwise.
@@ -65,40 +65,49 @@ def expired_contracts(accounts: DataFrame, run_ts) -> DataFrame:
         ts.alias("report_dt"))
 
 
-# --- type 2: shared chain ----------------------------------------------------------------------
+# --- type 2: shared plan -----------------------------------------------------------------------
 
-_STATS = ("max_ts", "max_late_ts", "has_midnight")
-
-
-def _day_stats(trans: DataFrame) -> DataFrame:
-    """One row per (card_num, event_dt): latest time, latest time after midnight, any midnight."""
+def _day_stats(trans: DataFrame, late: bool = True) -> DataFrame:
+    """One row per (card_num, event_dt): latest time and, when ``late``, the latest
+    time after midnight and whether any operation ran exactly at midnight."""
     ts = F.col("trans_date").cast(TS)
     day = F.to_date(ts)
     at_midnight = ts == day.cast(TS)
+    aggs = [F.max(ts).alias("max_ts")]
+    if late:
+        aggs += [F.max(F.when(~at_midnight, ts)).alias("max_late_ts"),
+                 F.bool_or(at_midnight).alias("has_midnight")]
     return (trans.select("card_num", ts.alias("trans_date"))
-            .groupBy("card_num", day.alias("event_dt"))
-            .agg(F.max(ts).alias("max_ts"),
-                 F.max(F.when(~at_midnight, ts)).alias("max_late_ts"),
-                 F.bool_or(at_midnight).alias("has_midnight")))
+            .groupBy("card_num", day.alias("event_dt")).agg(*aggs))
 
 
-def _regroup(df: DataFrame, key: str, flags=_STATS) -> DataFrame:
-    """Merge day statistics (or flags) per (key, event_dt) before the next shuffle."""
-    aggs = [F.bool_or(c).alias(c) if dict(df.dtypes)[c] == "boolean" else F.max(c).alias(c)
-            for c in flags]
-    return df.groupBy(key, "event_dt").agg(*aggs)
+def _fio(last: str = "last_name", first: str = "first_name", middle: str = "patronymic") -> Column:
+    """Full name; NULL when any part is NULL."""
+    return F.concat(F.col(last), F.lit(" "), F.col(first), F.lit(" "), F.col(middle))
+
 
+def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                  blacklist: DataFrame | None = None) -> DataFrame:
+    """Per trimmed card number, every combination of card, account and client versions
+    with what the reports test: contract end, passport, name, phone, passport end and
+    (with ``blacklist``) the first blacklist entry of the passport.
 
-def _by_account(trans: DataFrame, cards: DataFrame) -> DataFrame:
-    """Day statistics per (account_num, event_dt). Cards match on the trimmed card number."""
+    Dimension-sized: the fact is joined to it once. Accounts are required (both
+    reports need one); clients and blacklist entries are optional.
+    """
     c = cards.select(F.trim("card_num").alias("card_num"), "account_num").where(
         F.col("account_num").isNotNull())
-    return _regroup(_day_stats(trans).join(c, "card_num"), "account_num")
-
-
-def _fio(last: str = "last_name", first: str = "first_name", middle: str = "patronymic") -> Column:
-    """Full name; NULL when any part is NULL."""
-    return F.concat(F.col(last), F.lit(" "), F.col(first), F.lit(" "), F.col(middle))
+    a = accounts.select("account_num", "client", F.col("valid_to").cast(TS).alias("_ct"))
+    cl = clients.select(F.col("client_id").alias("client"),
+                        F.col("passport_num").alias("passport"), _fio().alias("fio"), "phone",
+                        F.col("passport_valid_to").cast(TS).alias("_vt"))
+    prof = c.join(a, "account_num").join(cl, "client", "left")
+    if blacklist is not None:
+        first_entry = (blacklist.where(F.col("passport_num").isNotNull())
+                       .groupBy(F.col("passport_num").alias("passport"))
+                       .agg(F.min(F.col("entry_dt").cast(TS)).alias("_entry")))
+        prof = prof.join(first_entry, "passport", "left")
+    return prof
 
 
 def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str) -> DataFrame:
@@ -107,12 +116,13 @@ def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat:
     ``cand`` has (event_dt, passport, fio, phone, keep, check): ``keep`` rows are
     reported unless suppressed in default mode; ``check`` rows (legacy only) are
     reported only when no earlier row has the same passport and day.
+    Candidates are shuffled once, by (passport, day): the distinct and the
+    suppression join both run on that partitioning.
     """
     keys = ["passport", "event_dt"]
-    grouped = (cand.repartition(*keys)
+    grouped = (cand.where(F.col("keep") | F.col("check")).repartition(*keys)
                .groupBy("event_dt", "passport", "fio", "phone")
-               .agg(F.bool_or("keep").alias("keep"), F.bool_or("check").alias("check"))
-               .where(F.col("keep") | F.col("check")))
+               .agg(F.bool_or("keep").alias("keep"), F.bool_or("check").alias("check")))
     if compat == LEGACY:
         seen = prior.select(*keys).distinct().withColumn("_seen", F.lit(True))
         out = grouped.join(seen, keys, "left").where(
@@ -129,6 +139,38 @@ def _check(compat: str) -> None:
         raise ValueError(f"compat must be {DEFAULT!r} or {LEGACY!r}, got {compat!r}")
 
 
+def _no(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
+
+
+def passport_candidates(stats: DataFrame, compat: str) -> DataFrame:
+    """Passport-report candidates from day statistics joined to card profiles."""
+    expired = _no(F.col("max_ts") > F.col("_vt"))
+    if compat == LEGACY:
+        keep = expired | _no(F.col("max_late_ts") >= F.col("_entry"))
+        check = _no(F.col("has_midnight") & (F.col("event_dt").cast(TS) >= F.col("_entry")))
+    else:
+        keep = expired | _no(F.col("max_ts") >= F.col("_entry"))
+        check = F.lit(False)
+    return stats.select("event_dt", "passport", "fio", "phone", keep.alias("keep"),
+                        check.alias("check"))
+
+
+def contract_candidates(stats: DataFrame, compat: str) -> DataFrame:
+    """Contract-report candidates from day statistics joined to card profiles."""
+    if compat == LEGACY:
+        keep = _no(F.col("max_late_ts") > F.col("_ct"))
+        check = _no(F.col("has_midnight") & (F.col("event_dt").cast(TS) > F.col("_ct")))
+    else:
+        keep, check = _no(F.col("max_ts") > F.col("_ct")), F.lit(False)
+    return stats.select("event_dt", "passport", "fio", "phone", keep.alias("keep"),
+                        check.alias("check"))
+
+
+def _stats(trans, profiles, compat):
+    return _day_stats(trans, late=compat == LEGACY).join(profiles, "card_num")
+
+
 # --- type 2: reports ---------------------------------------------------------------------------
 
 def passport_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
@@ -141,26 +183,9 @@ def passport_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
     ``blacklist`` the blacklist fact, ``prior`` earlier report rows.
     """
     _check(compat)
-    acc = accounts.select("account_num", "client").where(F.col("client").isNotNull())
-    by_client = _regroup(_by_account(trans, cards).join(acc, "account_num"), "client")
-    cli = clients.select(F.col("client_id").alias("client"),
-                         F.col("passport_num").alias("passport"), _fio().alias("fio"), "phone",
-                         F.col("passport_valid_to").cast(TS).alias("_vt")).where(
-        F.col("_vt").isNotNull() | F.col("passport").isNotNull())
-    first_entry = (blacklist.where(F.col("passport_num").isNotNull())
-                   .groupBy(F.col("passport_num").alias("passport"))
-                   .agg(F.min(F.col("entry_dt").cast(TS)).alias("_entry")))
-    rows = by_client.join(cli, "client").join(first_entry, "passport", "left")
-    expired = F.coalesce(F.col("max_ts") > F.col("_vt"), F.lit(False))
-    if compat == LEGACY:
-        midnight = F.col("event_dt").cast(TS)
-        keep = expired | F.coalesce(F.col("max_late_ts") >= F.col("_entry"), F.lit(False))
-        check = F.coalesce(F.col("has_midnight") & (midnight >= F.col("_entry")), F.lit(False))
-    else:
-        keep = expired | F.coalesce(F.col("max_ts") >= F.col("_entry"), F.lit(False))
-        check = F.lit(False)
-    cand = rows.select("event_dt", "passport", "fio", "phone", keep.alias("keep"),
-                       check.alias("check"))
+    prof = card_profiles(cards, accounts, clients, blacklist).where(
+        F.col("_vt").isNotNull() | F.col("_entry").isNotNull())
+    cand = passport_candidates(_stats(trans, prof, compat), compat)
     return _finish(cand, prior, EVENT_PASSPORT, run_ts, compat)
 
 
@@ -173,20 +198,8 @@ def contract_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
     phone. In legacy mode ``prior`` must already hold this run's passport report.
     """
     _check(compat)
-    acc = accounts.select("account_num", "client", F.col("valid_to").cast(TS).alias("_vt"))
-    rows = _by_account(trans, cards).join(acc, "account_num")
-    midnight = F.col("event_dt").cast(TS)
-    any_after = F.col("max_ts") > F.col("_vt")
-    late_after = F.coalesce(F.col("max_late_ts") > F.col("_vt"), F.lit(False))
-    mid_after = F.col("has_midnight") & (midnight > F.col("_vt"))
-    flagged = rows.where(any_after).select(
-        "client", "event_dt", (late_after if compat == LEGACY else F.lit(True)).alias("keep"),
-        (mid_after if compat == LEGACY else F.lit(False)).alias("check"))
-    by_client = _regroup(flagged, "client", ("keep", "check"))
-    cli = clients.select(F.col("client_id").alias("client"),
-                         F.col("passport_num").alias("passport"), _fio().alias("fio"), "phone")
-    cand = by_client.join(cli, "client", "left").select(
-        "event_dt", "passport", "fio", "phone", "keep", "check")
+    prof = card_profiles(cards, accounts, clients).where(F.col("_ct").isNotNull())
+    cand = contract_candidates(_stats(trans, prof, compat), compat)
     return _finish(cand, prior, EVENT_CONTRACT, run_ts, compat)
 
 

@@ -21,8 +21,24 @@ DAY_STAMPS = {1: "2021-03-01 08:00:00", 2: "2021-03-02 08:00:00", 3: "2021-03-03
 FILE_DAY_STAMPS = {1: "2021-03-01 00:00:00", 2: "2021-03-02 00:00:00", 3: "2021-03-03 00:00:00"}
 
 
+# Declared schemas of the driver tables this package reads (only the columns it
+# uses): no inference job per read, and the scan reads just these columns.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, "
+                "l_extendedprice double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _s(c) -> Column:
@@ -138,10 +154,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
     return li.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("trans_id"),
-        (F.col("l_shipdate").cast(TS)
-         + F.make_dt_interval(F.lit(0), hours)).alias("trans_date"),
+        F.timestamp_add("HOUR", hours, F.col("l_shipdate").cast(TS)).alias("trans_date"),
         _s("l_orderkey").alias("card_num"), F.col("l_returnflag").alias("oper_type"),
-        F.regexp_replace(amount, r"\.", ",").alias("amt"),
+        F.replace(amount, F.lit("."), F.lit(",")).alias("amt"),
         F.col("l_linestatus").alias("oper_result"), _s("l_partkey").alias("terminal"))
 
 

@@ -17,7 +17,7 @@ from ..schemas import TRANSACTIONS_TYPE1
 def amount_decimal(col: str | Column, precision: int = 12, scale: int = 2) -> Column:
     """Amount text with a decimal comma (``'12,50'``) as a decimal."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c.cast("string"), ",", ".").cast(f"decimal({precision},{scale})")
+    return F.replace(c.cast("string"), F.lit(","), F.lit(".")).cast(f"decimal({precision},{scale})")
 
 
 def stamp(df: DataFrame, run_ts, column: str = "update_dt") -> DataFrame:
