@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 from ..schemas import TS, TYPE1_UNLOADED, DimSpec
 
 
+def new_rows(dim: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
+    """Rows to insert: staged keys absent from ``dim``, shaped like the dimension."""
+    skipped = set(TYPE1_UNLOADED.get(spec.name, ()))
+    new = stg.join(dim.select(spec.key), spec.key, "left_anti")
+    cols = [F.col(spec.key)]
+    cols += [F.lit(None).cast(dim.schema[a].dataType).alias(a) if a in skipped else F.col(a)
+             for a in spec.attrs]
+    cols += [F.col("update_dt").cast(TS).alias("create_dt"), F.lit(None).cast(TS).alias("update_dt")]
+    return new.select(*cols)
+
+
 def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
     """Dimension after inserting staged rows whose key is absent.
 
@@ -19,10 +30,4 @@ def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
     The key test is an anti join: one shuffle of the staged keys and the
     dimension's key column only.
     """
-    skipped = set(TYPE1_UNLOADED.get(spec.name, ()))
-    new = stg.join(dim.select(spec.key), spec.key, "left_anti")
-    cols = [F.col(spec.key)]
-    cols += [F.lit(None).cast(dim.schema[a].dataType).alias(a) if a in skipped else F.col(a)
-             for a in spec.attrs]
-    cols += [F.col("update_dt").cast(TS).alias("create_dt"), F.lit(None).cast(TS).alias("update_dt")]
-    return dim.select(*spec.type1_columns).unionByName(new.select(*cols))
+    return dim.select(*spec.type1_columns).unionByName(new_rows(dim, stg, spec))
