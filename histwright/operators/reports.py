@@ -19,9 +19,8 @@ keys (one card, account or client may own a large share of all operations):
 2. the dimension chain card -> account -> client (-> first blacklist entry) is
    joined on its own into per-card profiles (dimension-sized), so the fact side
    meets one join, on the card number;
-3. candidate rows are filtered, then hash partitioned once by (passport, day);
-   the final distinct and the suppression join against earlier report rows both
-   use that partitioning.
+3. candidate rows are filtered and made distinct (partial aggregation before the
+   shuffle), then anti/left-joined with earlier report rows on (passport, day).
 
 Joins are plain equi-joins: AQE turns them into broadcasts when a side is
 measured small at run time, and splits skewed partitions otherwise.
@@ -116,11 +115,12 @@ def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat:
     ``cand`` has (event_dt, passport, fio, phone, keep, check): ``keep`` rows are
     reported unless suppressed in default mode; ``check`` rows (legacy only) are
     reported only when no earlier row has the same passport and day.
-    Candidates are shuffled once, by (passport, day): the distinct and the
-    suppression join both run on that partitioning.
+    The distinct is a regular aggregate, so duplicates collapse map-side before
+    the shuffle (a hot client on one day must not send all its candidate rows
+    to one task); only distinct rows meet the suppression join.
     """
     keys = ["passport", "event_dt"]
-    grouped = (cand.where(F.col("keep") | F.col("check")).repartition(*keys)
+    grouped = (cand.where(F.col("keep") | F.col("check"))
                .groupBy("event_dt", "passport", "fio", "phone")
                .agg(F.bool_or("keep").alias("keep"), F.bool_or("check").alias("check")))
     if compat == LEGACY:
