@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def append_all(fact: DataFrame, stg: DataFrame) -> DataFrame:
@@ -10,13 +11,23 @@ def append_all(fact: DataFrame, stg: DataFrame) -> DataFrame:
     return fact.union(stg.select(*stg.columns[: len(fact.columns)]).toDF(*fact.columns))
 
 
-def new_rows(fact: DataFrame, stg: DataFrame, key: str, dedupe_batch: bool = False) -> DataFrame:
+def new_rows(fact: DataFrame, stg: DataFrame, key: str, dedupe_batch: bool = False,
+             bound_by_range: bool = True) -> DataFrame:
     """Staged rows whose ``key`` is not in the fact yet.
 
     Duplicate ids inside one batch all pass unless ``dedupe_batch``. Only the
-    fact's key column is read and shuffled.
+    fact's key column is read; with ``bound_by_range`` (exact: an id outside
+    the batch's [min, max] cannot match) it is filtered by two scalar
+    subqueries over the batch before the shuffle, so a daily batch shuffles the
+    fact ids of its own id range, not the whole fact.
     """
-    rows = stg.join(fact.select(key), key, "left_anti")
+    ids = fact.select(key)
+    if bound_by_range:
+        k = F.col(key)
+        lo = stg.select(F.min(key)).scalar()
+        hi = stg.select(F.max(key)).scalar()
+        ids = ids.where((k >= lo) & (k <= hi))
+    rows = stg.join(ids, key, "left_anti")
     if dedupe_batch:
         rows = rows.dropDuplicates([key])
     return rows

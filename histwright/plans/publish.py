@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import TABLES
+from ..schemas import TABLES, empty
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -55,7 +55,7 @@ class State:
         schema = schema or TABLES[table]
         paths = [p for p in self.segments(table) if _exists(self.spark, p)]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
 

@@ -127,5 +127,10 @@ TABLES: dict[str, T.StructType] = {
 
 
 def empty(spark, schema: T.StructType):
-    """An empty frame of ``schema`` (first run of a table)."""
-    return spark.createDataFrame([], schema)
+    """An empty frame of ``schema`` (first run of a table).
+
+    Built as a projection under ``WHERE false`` so Catalyst knows it is empty and
+    drops joins and unions against it (a first load is a plain projection).
+    """
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*cols).where(F.lit(False))
