@@ -22,7 +22,7 @@ their interval moved one day back (tombstone one day after the old start).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.compare import row_changed
@@ -43,8 +43,11 @@ def shifts_deletes(spec: DimSpec, compat: str) -> bool:
     return compat == LEGACY and spec.name == "terminals"
 
 
+OPEN_SQL = f"TIMESTAMP_NTZ'{OPEN_END_TEXT}'"
+
+
 def is_open(col: str = "effective_to") -> Column:
-    return F.coalesce(F.col(col) == open_end(), F.lit(False))
+    return F.expr(f"coalesce({col} = {OPEN_SQL}, false)")
 
 
 def live_rows(hist: DataFrame) -> DataFrame:
@@ -64,11 +67,10 @@ def unique_keys(stg: DataFrame, spec: DimSpec) -> DataFrame:
     The count runs in a window partitioned by the key, so its shuffle and sort are
     the ones the following join on the key needs anyway.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(spec.key))
-    msg = F.concat(F.lit(f"duplicate {spec.key} in {spec.name} snapshot: "),
-                   F.coalesce(F.col(spec.key), F.lit("NULL")))
-    return (stg.withColumn("_n", n)
-            .where(F.when(F.col("_n") > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+    k = spec.key
+    return (stg.withColumn("_n", F.expr(f"count(1) OVER (PARTITION BY {k})"))
+            .where(f"CASE WHEN _n > 1 THEN raise_error(concat('duplicate {k} in {spec.name} "
+                   f"snapshot: ', coalesce({k}, 'NULL'))) ELSE true END")
             .drop("_n"))
 
 
@@ -113,11 +115,10 @@ def snapshot_delta(open_rows: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
     """
     _check_compat(compat)
     k = spec.key
-    o = open_rows.select(F.col(k).alias("_k"), F.struct(
-        *[F.col(a) for a in spec.attrs], "effective_from", "effective_to",
-        "deleted_flg").alias("o"))
-    s = stg.select(F.col(k).alias("_k"),
-                   F.struct(*[F.col(a) for a in spec.attrs], "update_dt").alias("s"))
+    attrs = ", ".join(spec.attrs)
+    o = open_rows.selectExpr(f"{k} AS _k",
+                             f"struct({attrs}, effective_from, effective_to, deleted_flg) AS o")
+    s = stg.selectExpr(f"{k} AS _k", f"struct({attrs}, update_dt) AS s")
     j = o.join(s, "_k", "full_outer")
 
     ts = f"TIMESTAMP_NTZ'{stamp_text(run_ts)}'"
@@ -153,13 +154,13 @@ def apply_snapshot(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
     carry their own ``update_dt``. NULL keys are left out (see
     ``split_null_keys`` for the quarantine); duplicate keys fail the job.
     """
-    stg = stg.select(*spec.columns, "update_dt")
-    stg, _ = split_null_keys(stg, spec)
+    stg = stg.select(*spec.columns, "update_dt").where(f"{spec.key} IS NOT NULL")
     if check_unique:
         stg = unique_keys(stg, spec)
     hist = hist.select(*spec.history_columns)
-    closed = hist.where(~is_open())
-    delta = snapshot_delta(hist.where(is_open()), stg, spec, run_ts, compat)
+    closed = hist.where(f"NOT coalesce(effective_to = {OPEN_SQL}, false)")
+    delta = snapshot_delta(hist.where(f"coalesce(effective_to = {OPEN_SQL}, false)"), stg, spec,
+                           run_ts, compat)
     return closed.unionByName(delta)
 
 

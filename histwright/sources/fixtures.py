@@ -6,11 +6,17 @@ terminals and ``lineitem`` transactions. Each day's snapshot is the whole
 table; modular arithmetic on the ids models which rows the source changed,
 added or removed between days (it is the change model, not a row cap).
 Every frame here is lazy and reads whole tables.
+
+The views are defined once, as SQL text (source table, select list, filter),
+and used by both engines: Spark runs them through ``where`` + ``selectExpr``
+(reading ``timestamp`` as ``timestamp_ntz``), the DuckDB oracle as a ``select``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TS
@@ -20,7 +26,6 @@ DAY_STAMPS = {1: "2021-03-01 08:00:00", 2: "2021-03-02 08:00:00", 3: "2021-03-03
 # Terminals are stamped with the drop's file date at midnight.
 FILE_DAY_STAMPS = {1: "2021-03-01 00:00:00", 2: "2021-03-02 00:00:00", 3: "2021-03-03 00:00:00"}
 
-
 # Declared schemas of the driver tables this package reads (only the columns it
 # uses): no inference job per read, and the scan reads just these columns.
 TABLE_SCHEMAS = {
@@ -33,6 +38,93 @@ TABLE_SCHEMAS = {
                 "l_shipdate timestamp_ntz",
 }
 
+# name -> (source table or view, select list, filter or None)
+VIEW_DEFS: dict[str, tuple[str, list[str], str | None]] = {
+    "cards_d1": ("orders", [
+        "cast(o_orderkey as string) as card_num",
+        "case when o_orderkey % 11 = 0 then null else cast(o_custkey as string) end as account_num",
+    ], "o_orderkey % 10 <> 9"),
+    "cards_d2": ("orders", [
+        "cast(o_orderkey as string) as card_num",
+        "case when o_orderkey % 22 = 0 then null when o_orderkey % 7 = 0 then cast(o_custkey + 1 as string) "
+        "else cast(o_custkey as string) end as account_num",
+    ], "o_orderkey % 17 <> 3"),
+    "cards_d3": ("orders", [
+        "cast(o_orderkey as string) as card_num",
+        "case when o_orderkey % 22 = 0 then null when o_orderkey % 7 = 0 then cast(o_custkey + 1 as string) "
+        "when o_orderkey % 34 = 3 then cast(o_custkey + 2 as string) "
+        "when o_orderkey % 13 = 5 then cast(o_custkey + 3 as string) "
+        "else cast(o_custkey as string) end as account_num",
+    ], None),
+    "terminals_d1": ("part", [
+        "cast(p_partkey as string) as terminal_id", "p_type as terminal_type",
+        "p_brand as terminal_city", "p_name as terminal_address",
+    ], "p_partkey % 10 <> 9"),
+    "terminals_d2": ("part", [
+        "cast(p_partkey as string) as terminal_id", "p_type as terminal_type",
+        "case when p_partkey % 11 = 0 then null else p_brand end as terminal_city",
+        "case when p_partkey % 7 = 0 then p_name || ' 2' else p_name end as terminal_address",
+    ], "p_partkey % 17 <> 3"),
+    "accounts_d1": ("customer", [
+        "cast(c_custkey as string) as account_num",
+        "date '1995-01-01' + cast((c_custkey * 37) % 2500 as int) as valid_to",
+        "case when c_custkey % 23 = 0 then null else cast(c_custkey as string) end as client",
+    ], "c_custkey % 10 <> 9"),
+    "accounts_d2": ("customer", [
+        "cast(c_custkey as string) as account_num",
+        "date '1995-01-01' + cast((c_custkey * 37) % 2500 + case when c_custkey % 7 = 0 then 30 else 0 end "
+        "as int) as valid_to",
+        "case when c_custkey % 23 = 0 then null else cast(c_custkey as string) end as client",
+    ], "c_custkey % 17 <> 3"),
+    "clients_d1": ("customer", [
+        "cast(c_custkey as string) as client_id", "c_name as last_name", "c_mktsegment as first_name",
+        "case when c_custkey % 19 = 0 then null else 'N' || cast(c_nationkey as string) end as patronymic",
+        "date '1960-01-01' + cast((c_custkey * 11) % 15000 as int) as date_of_birth",
+        "'PS' || cast(c_custkey as string) as passport_num",
+        "case when c_custkey % 13 = 0 then null else date '1996-01-01' + cast((c_custkey * 53) % 2500 as int) "
+        "end as passport_valid_to",
+        "'+7' || cast(c_custkey as string) as phone",
+    ], "c_custkey % 10 <> 9"),
+    "clients_d2": ("customer", [
+        "cast(c_custkey as string) as client_id", "c_name as last_name", "c_mktsegment as first_name",
+        "case when c_custkey % 19 = 0 then 'X' else 'N' || cast(c_nationkey as string) end as patronymic",
+        "date '1960-01-01' + cast((c_custkey * 11) % 15000 as int) as date_of_birth",
+        "'PS' || cast(c_custkey as string) as passport_num",
+        "case when c_custkey % 13 = 0 then null else date '1996-01-01' + cast((c_custkey * 53) % 2500 as int) "
+        "end as passport_valid_to",
+        "case when c_custkey % 7 = 0 then null else '+7' || cast(c_custkey as string) end as phone",
+    ], "c_custkey % 17 <> 3"),
+    "blacklist": ("customer", [
+        "cast(date '1998-01-01' + cast(c_custkey % 1000 as int) as timestamp) as entry_dt",
+        "'PS' || cast(c_custkey as string) as passport_num",
+    ], "c_acctbal < 0"),
+    "transactions": ("lineitem", [
+        "l_orderkey * 8 + l_linenumber as trans_id",
+        "l_shipdate + interval '1' hour * cast(l_partkey % 24 as int) as trans_date",
+        "cast(l_orderkey as string) as card_num", "l_returnflag as oper_type",
+        "replace(cast(cast(l_extendedprice as decimal(12,2)) as string), '.', ',') as amt",
+        "l_linestatus as oper_result", "cast(l_partkey as string) as terminal",
+    ], None),
+    "prior_report": ("transactions", [
+        "cast(trans_date as date) as event_dt", "'PS' || cast(trans_id % 1500 as string) as passport",
+        "case when trans_id % 2 = 0 then '1' else '2' end as event_type",
+    ], "trans_id % 5 = 0"),
+    "cards_padded": ("cards_d1", ["card_num || '  ' as card_num", "account_num"], None),
+}
+DISTINCT_VIEWS = {"prior_report"}
+
+
+def view_sql(name: str) -> str:
+    """The view as a DuckDB ``select``."""
+    src, cols, cond = VIEW_DEFS[name]
+    d = "distinct " if name in DISTINCT_VIEWS else ""
+    return f"select {d}{', '.join(cols)} from {src}" + (f" where {cond}" if cond else "")
+
+
+def _spark_text(expr: str) -> str:
+    # Warehouse timestamps are zone-less: ``timestamp`` is ``timestamp_ntz`` in Spark.
+    return re.sub(r"\bas timestamp\)", "as timestamp_ntz)", expr)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
@@ -41,123 +133,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _s(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived view as a lazy ``DataFrame`` (filter, then projection)."""
+    src, cols, cond = VIEW_DEFS[name]
+    df = view(spark, sf_dir, src) if src in VIEW_DEFS else table(spark, sf_dir, src)
+    if cond:
+        df = df.where(cond)
+    df = df.selectExpr(*[_spark_text(c) for c in cols])
+    return df.distinct() if name in DISTINCT_VIEWS else df
 
 
-def _days(base: str, n: Column) -> Column:
-    return F.date_add(F.lit(base).cast("date"), n.cast("int"))
+def snapshot(spark: SparkSession, sf_dir: str, dim: str, day: int) -> DataFrame:
+    return view(spark, sf_dir, f"{dim}_d{day}")
 
 
 def cards(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    if day == 1:
-        acct = F.when(k % 11 == 0, F.lit(None)).otherwise(_s(c))
-        keep = k % 10 != 9
-    elif day == 2:
-        acct = (F.when(k % 22 == 0, F.lit(None)).when(k % 7 == 0, _s(c + 1))
-                .otherwise(_s(c)))
-        keep = k % 17 != 3
-    elif day == 3:
-        acct = (F.when(k % 22 == 0, F.lit(None)).when(k % 7 == 0, _s(c + 1))
-                .when(k % 34 == 3, _s(c + 2)).when(k % 13 == 5, _s(c + 3)).otherwise(_s(c)))
-        keep = F.lit(True)
-    else:
-        raise ValueError(day)
-    return o.where(keep).select(_s(k).alias("card_num"), acct.cast("string").alias("account_num"))
-
-
-def cards_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day-1 cards with trailing blanks on the card number (the source pads it)."""
-    d1 = cards(spark, sf_dir, 1)
-    return d1.select(F.concat("card_num", F.lit("  ")).alias("card_num"), "account_num")
+    return snapshot(spark, sf_dir, "cards", day)
 
 
 def terminals(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_name")
-    k = F.col("p_partkey")
-    if day == 1:
-        city, addr, keep = F.col("p_brand"), F.col("p_name"), k % 10 != 9
-    elif day == 2:
-        city = F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("p_brand"))
-        addr = F.when(k % 7 == 0, F.concat("p_name", F.lit(" 2"))).otherwise(F.col("p_name"))
-        keep = k % 17 != 3
-    else:
-        raise ValueError(day)
-    return p.where(keep).select(_s(k).alias("terminal_id"), F.col("p_type").alias("terminal_type"),
-                                city.cast("string").alias("terminal_city"),
-                                addr.alias("terminal_address"))
+    return snapshot(spark, sf_dir, "terminals", day)
 
 
 def accounts(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey")
-    k = F.col("c_custkey")
-    shift = (k * 37) % 2500
-    if day == 1:
-        keep = k % 10 != 9
-    elif day == 2:
-        shift = shift + F.when(k % 7 == 0, 30).otherwise(0)
-        keep = k % 17 != 3
-    else:
-        raise ValueError(day)
-    client = F.when(k % 23 == 0, F.lit(None)).otherwise(_s(k)).cast("string")
-    return c.where(keep).select(_s(k).alias("account_num"),
-                                _days("1995-01-01", shift).alias("valid_to"),
-                                client.alias("client"))
+    return snapshot(spark, sf_dir, "accounts", day)
 
 
 def clients(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment",
-                                                "c_nationkey")
-    k = F.col("c_custkey")
-    nation = F.concat(F.lit("N"), _s("c_nationkey"))
-    phone = F.concat(F.lit("+7"), _s(k))
-    if day == 1:
-        patronymic = F.when(k % 19 == 0, F.lit(None)).otherwise(nation)
-        keep = k % 10 != 9
-    elif day == 2:
-        patronymic = F.when(k % 19 == 0, F.lit("X")).otherwise(nation)
-        phone = F.when(k % 7 == 0, F.lit(None)).otherwise(phone)
-        keep = k % 17 != 3
-    else:
-        raise ValueError(day)
-    valid_to = F.when(k % 13 == 0, F.lit(None)).otherwise(_days("1996-01-01", (k * 53) % 2500))
-    return c.where(keep).select(
-        _s(k).alias("client_id"), F.col("c_name").alias("last_name"),
-        F.col("c_mktsegment").alias("first_name"), patronymic.cast("string").alias("patronymic"),
-        _days("1960-01-01", (k * 11) % 15000).alias("date_of_birth"),
-        F.concat(F.lit("PS"), _s(k)).alias("passport_num"),
-        valid_to.cast("date").alias("passport_valid_to"), phone.cast("string").alias("phone"))
-
-
-SNAPSHOTS = {"cards": cards, "terminals": terminals, "accounts": accounts, "clients": clients}
+    return snapshot(spark, sf_dir, "clients", day)
 
 
-def snapshot(spark: SparkSession, sf_dir: str, dim: str, day: int) -> DataFrame:
-    return SNAPSHOTS[dim](spark, sf_dir, day)
+def cards_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day-1 cards with trailing blanks on the card number (the source pads it)."""
+    return view(spark, sf_dir, "cards_padded")
 
 
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    k = F.col("c_custkey")
-    return c.where(F.col("c_acctbal") < 0).select(
-        _days("1998-01-01", k % 1000).cast(TS).alias("entry_dt"),
-        F.concat(F.lit("PS"), _s(k)).alias("passport_num"))
+    return view(spark, sf_dir, "blacklist")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_returnflag",
-        "l_linestatus", "l_extendedprice")
-    hours = (F.col("l_partkey") % 24).cast("int")
-    amount = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
-    return li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("trans_id"),
-        F.timestamp_add("HOUR", hours, F.col("l_shipdate").cast(TS)).alias("trans_date"),
-        _s("l_orderkey").alias("card_num"), F.col("l_returnflag").alias("oper_type"),
-        F.replace(amount, F.lit("."), F.lit(",")).alias("amt"),
-        F.col("l_linestatus").alias("oper_result"), _s("l_partkey").alias("terminal"))
+    return view(spark, sf_dir, "transactions")
+
+
+def prior_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report rows of earlier runs: (event_dt, passport, event_type)."""
+    return view(spark, sf_dir, "prior_report")
 
 
 # Transaction batches: batch 1 is everything before 1999-01-01, batch 2 from
@@ -173,13 +194,3 @@ def transactions_batch(spark: SparkSession, sf_dir: str, batch: int) -> DataFram
     if batch == 2:
         return t.where(F.col("trans_date") >= F.lit(BATCH2_FROM).cast(TS))
     raise ValueError(batch)
-
-
-def prior_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report rows of earlier runs: (event_dt, passport, event_type)."""
-    t = transactions(spark, sf_dir).select("trans_id", "trans_date")
-    i = F.col("trans_id")
-    return t.where(i % 5 == 0).select(
-        F.to_date("trans_date").alias("event_dt"),
-        F.concat(F.lit("PS"), _s(i % 1500)).alias("passport"),
-        F.when(i % 2 == 0, F.lit("1")).otherwise(F.lit("2")).alias("event_type")).distinct()
