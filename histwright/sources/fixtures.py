@@ -123,7 +123,11 @@ def view_sql(name: str) -> str:
 
 def _spark_text(expr: str) -> str:
     # Warehouse timestamps are zone-less: ``timestamp`` is ``timestamp_ntz`` in Spark.
-    return re.sub(r"\bas timestamp\)", "as timestamp_ntz)", expr)
+    expr = re.sub(r"\bas timestamp\)", "as timestamp_ntz)", expr)
+    # ``ts + interval '1' hour * n`` is the same value as ``timestampadd(HOUR, n, ts)``,
+    # which Spark evaluates without building an interval per row.
+    return re.sub(r"(\w+) \+ interval '1' hour \* (cast\([^)]*\))",
+                  r"timestampadd(HOUR, \2, \1)", expr)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
