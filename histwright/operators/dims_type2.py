@@ -46,8 +46,18 @@ def shifts_deletes(spec: DimSpec, compat: str) -> bool:
 OPEN_SQL = f"TIMESTAMP_NTZ'{OPEN_END_TEXT}'"
 
 
-def is_open(col: str = "effective_to") -> Column:
-    return F.expr(f"coalesce({col} = {OPEN_SQL}, false)")
+# Plain comparisons so that Parquet scans get them as pushed filters.
+OPEN_PRED = f"effective_to = {OPEN_SQL}"
+CLOSED_PRED = f"(effective_to <> {OPEN_SQL} OR effective_to IS NULL)"
+
+
+def is_open() -> Column:
+    """Open version (NULL-free in the history; NULL counts as not open in filters)."""
+    return F.expr(OPEN_PRED)
+
+
+def is_closed() -> Column:
+    return F.expr(CLOSED_PRED)
 
 
 def live_rows(hist: DataFrame) -> DataFrame:
@@ -158,9 +168,8 @@ def apply_snapshot(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
     if check_unique:
         stg = unique_keys(stg, spec)
     hist = hist.select(*spec.history_columns)
-    closed = hist.where(f"NOT coalesce(effective_to = {OPEN_SQL}, false)")
-    delta = snapshot_delta(hist.where(f"coalesce(effective_to = {OPEN_SQL}, false)"), stg, spec,
-                           run_ts, compat)
+    closed = hist.where(CLOSED_PRED)
+    delta = snapshot_delta(hist.where(OPEN_PRED), stg, spec, run_ts, compat)
     return closed.unionByName(delta)
 
 
@@ -222,7 +231,7 @@ def close_changed(hist: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
     No test on ``deleted_flg``: a tombstone whose key comes back changed is closed too.
     """
     j = _join_stg(hist, stg, spec, "left")
-    hit = is_open() & F.col("s").isNotNull() & _changed_vs_stg(spec)
+    hit = F.coalesce(is_open(), F.lit(False)) & F.col("s").isNotNull() & _changed_vs_stg(spec)
     to = F.when(hit, minus_seconds(F.col("s")["update_dt"], 1)).otherwise(F.col("effective_to"))
     return _emit(j, _hist_row(spec, to=to))
 

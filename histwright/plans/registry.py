@@ -113,7 +113,7 @@ def _after_insert(h, s, spec):
 def q_hist_close_changed_cards(spark, sf):
     h, s, spec = _day2(spark, sf, "cards")
     closed = d2.close_changed(_after_insert(h, s, spec), s, spec)
-    return _text_times(closed.where(~d2.is_open()))
+    return _text_times(closed.where(d2.is_closed()))
 
 
 def q_hist_open_changed_cards(spark, sf):
