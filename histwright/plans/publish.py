@@ -123,6 +123,14 @@ class Run:
         self.tables[table] = old + [closed, opened]
         return [closed, opened]
 
+    def create(self, table: str) -> None:
+        """Declare an empty table (its schema is in ``schemas.TABLES``)."""
+        self.tables.setdefault(table, [])
+
+    def drop(self, table: str) -> None:
+        """Drop a table from the published state. Files stay for readers of older runs."""
+        self.tables.pop(table, None)
+
     def read(self, table: str) -> DataFrame:
         """The table as this run has left it so far (written segments included)."""
         return State(self.spark, self.root, self.run_id, self.tables).read(table)
@@ -144,3 +152,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return True
     except Exception:  # noqa: BLE001 - missing folder
         return False
+
+
+def create_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
+                  tables=tuple(TABLES)) -> State:
+    """Publish a run that declares ``tables`` empty (the warehouse bootstrap)."""
+    run = Run(current(spark, root, before=run_id), run_id, run_ts)
+    for t in tables:
+        run.create(t)
+    return run.commit()
+
+
+def drop_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
+                tables=tuple(TABLES)) -> State:
+    """Publish a run without ``tables`` (the warehouse reset)."""
+    run = Run(current(spark, root, before=run_id), run_id, run_ts)
+    for t in tables:
+        run.drop(t)
+    return run.commit()

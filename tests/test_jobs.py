@@ -81,3 +81,18 @@ def test_type1_day(spark):
     t = state.read("dim_terminals")
     assert t.where("terminal_address is not null").count() == 0
     assert state.read("rep_fraud_type1").count() > 0
+
+
+def test_create_and_drop_tables(spark):
+    root = scratch_dir("wh-")
+    st = publish.create_tables(spark, root, "20210228T000000", "2021-02-28 00:00:00")
+    assert "dim_cards_hist" in st.tables and st.read("dim_cards_hist").count() == 0
+    st = jobs.run_type2_day(spark, root, day_inputs(spark, 1), fx.DAY_STAMPS[1])
+    assert st.read("dim_cards_hist").count() > 0
+    st = publish.drop_tables(spark, root, "20210301T090000", "2021-03-01 09:00:00",
+                             ["dim_cards_hist"])
+    assert "dim_cards_hist" not in st.tables
+    assert "fact_transactions" in publish.current(spark, root).tables
+    # The previous run still reads its own files.
+    before = publish.current(spark, root, before="20210301T090000")
+    assert before.read("dim_cards_hist").count() > 0
