@@ -46,6 +46,9 @@ class State:
     run_id: str | None = None
     tables: dict[str, list[str]] = field(default_factory=dict)
     files: set[str] = field(default_factory=set)
+    # Segments written by a run in progress; committed manifests list only
+    # segments that hold data, so only these need an existence check.
+    pending: set[str] = field(default_factory=set)
 
     def segments(self, table: str) -> list[str]:
         return list(self.tables.get(table, []))
@@ -53,7 +56,8 @@ class State:
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Current rows of ``table`` (empty with its schema when never written)."""
         schema = schema or TABLES[table]
-        paths = [p for p in self.segments(table) if _exists(self.spark, p)]
+        paths = [p for p in self.segments(table)
+                 if p not in self.pending or _exists(self.spark, p)]
         if not paths:
             return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -92,12 +96,14 @@ class Run:
         self.run_ts = run_ts
         self.files = sorted(set(files))
         self.tables = {k: list(v) for k, v in state.tables.items()}
+        self.written: set[str] = set()
 
     def append(self, table: str, df: DataFrame) -> str:
         """Add ``df`` as this run's segment of an append-only table."""
         path = table_path(self.root, table, self.run_id)
         df.write.mode("overwrite").parquet(path)
         self.tables[table] = [p for p in self.tables.get(table, []) if p != path] + [path]
+        self.written.add(path)
         return path
 
     def replace(self, table: str, df: DataFrame) -> str:
@@ -105,6 +111,7 @@ class Run:
         path = table_path(self.root, table, self.run_id)
         df.write.mode("overwrite").parquet(path)
         self.tables[table] = [path]
+        self.written.add(path)
         return path
 
     def history(self, table: str, delta: DataFrame) -> list[str]:
@@ -121,6 +128,7 @@ class Run:
         old = [p for p in self.tables.get(table, [])
                if not p.endswith("/segment=open") and not p.startswith(path)]
         self.tables[table] = old + [closed, opened]
+        self.written |= {closed, opened}
         return [closed, opened]
 
     def create(self, table: str) -> None:
@@ -133,12 +141,14 @@ class Run:
 
     def read(self, table: str) -> DataFrame:
         """The table as this run has left it so far (written segments included)."""
-        return State(self.spark, self.root, self.run_id, self.tables).read(table)
+        return State(self.spark, self.root, self.run_id, self.tables,
+                     pending=self.written).read(table)
 
     def commit(self) -> State:
         """Publish the run: one manifest row, written last."""
-        # Segments that were never written (empty partition folders) are dropped.
-        tables = {k: [p for p in v if _exists(self.spark, p)] for k, v in self.tables.items()}
+        # Segments of this run that hold no data (no rows in a partition) are left out.
+        tables = {k: [p for p in v if p not in self.written or _exists(self.spark, p)]
+                  for k, v in self.tables.items()}
         row = [(self.run_id, self.run_ts, tables, self.files)]
         (self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite")
          .json(f"{self.root}/_manifests/run={self.run_id}"))

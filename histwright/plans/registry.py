@@ -16,7 +16,7 @@ from ..functions import row_changed, run_stamp
 from ..operators import dims_type1 as d1
 from ..operators import dims_type2 as d2
 from ..operators import facts, meta, reports
-from ..schemas import DIMS, TS, empty, open_end
+from ..schemas import DIMS, TS, empty
 from ..sources import fixtures as fx
 from ..sources import staging
 from .oracle import TYPE1_REPORT_TS

@@ -36,8 +36,6 @@ def test_type2_replay_matches_in_memory_history(spark):
     assert rows(state.read("dim_cards_hist")) == rows(R.history(spark, SF, "cards", 3))
     # Facts: ids loaded once even though batches overlap.
     ft = state.read("fact_transactions")
-    assert ft.count() == ft.select("trans_id", "trans_date", "card_num").distinct().count() or \
-        ft.select("trans_id").distinct().count() <= ft.count()
     b1 = fx.transactions_batch(spark, SF, 1)
     b2 = fx.transactions_batch(spark, SF, 2)
     expected = b1.count() + b2.join(b1.select("trans_id"), "trans_id", "left_anti").count()
