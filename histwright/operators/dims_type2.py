@@ -173,6 +173,26 @@ def apply_snapshot(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
     return closed.unionByName(delta)
 
 
+def deletion_guard(hist: DataFrame, stg: DataFrame, spec: DimSpec,
+                   max_fraction: float) -> tuple[int, int]:
+    """Fail before anything is written when a snapshot would delete more than
+    ``max_fraction`` of the live keys (an empty or truncated extract would
+    otherwise tombstone the whole dimension).
+
+    One anti join on key columns only; returns (live keys, keys to delete).
+    """
+    live = live_rows(hist).select(spec.key)
+    staged_keys = stg.select(spec.key).where(F.col(spec.key).isNotNull())
+    r = (live.join(staged_keys, spec.key, "left_anti").select(F.lit(1).alias("gone"))
+         .unionByName(live.select(F.lit(0).alias("gone")))
+         .agg(F.count(F.lit(1)).alias("n"), F.sum("gone").alias("gone")).first())
+    n_live, n_gone = int(r.n - (r.gone or 0)), int(r.gone or 0)
+    if n_live and n_gone / n_live > max_fraction:
+        raise ValueError(f"{spec.name}: snapshot deletes {n_gone} of {n_live} live keys "
+                         f"(more than {max_fraction:.0%}); nothing published")
+    return n_live, n_gone
+
+
 # --- step by step ---------------------------------------------------------------------------
 #
 # Each step joins the whole history once with the staged snapshot on the key and

@@ -66,12 +66,14 @@ def _meta(state: State, run: Run, stg: DataFrame) -> None:
 
 
 def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
-                  compat: str = d2.DEFAULT, skip_loaded_files: bool = True) -> State:
+                  compat: str = d2.DEFAULT, skip_loaded_files: bool = True,
+                  max_delete_fraction: float | None = None) -> State:
     """One day of the history job, published all-or-nothing.
 
     Order as in the original job: staging and watermark, the four dimensions
     (single pass each), blacklist and new transactions, then both reports over
-    the new state.
+    the new state. With ``max_delete_fraction`` a snapshot that would delete a
+    larger share of a dimension's live keys stops the run before any write.
     """
     run_ts = stamp_text(run_ts)
     rid = run_id_of(run_ts)
@@ -80,6 +82,10 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
         return state
     run = Run(state, rid, run_ts, day.files)
     stg = stage_day(day, run_ts)
+    if max_delete_fraction is not None:
+        for name, spec in DIMS.items():
+            d2.deletion_guard(state.read(f"dim_{name}_hist"), stg[name], spec,
+                              max_delete_fraction)
     _meta(state, run, stg["terminals"])
     for name, spec in DIMS.items():
         hist = state.read(f"dim_{name}_hist")

@@ -94,3 +94,18 @@ def test_create_and_drop_tables(spark):
     # The previous run still reads its own files.
     before = publish.current(spark, root, before="20210301T090000")
     assert before.read("dim_cards_hist").count() > 0
+
+
+def test_delete_guard_stops_empty_extract(spark):
+    import pytest
+    root = scratch_dir("wh-")
+    s1 = jobs.run_type2_day(spark, root, day_inputs(spark, 1), fx.DAY_STAMPS[1])
+    d2_in = day_inputs(spark, 2)
+    d2_in.cards = d2_in.cards.where("false")  # a truncated extract: no cards at all
+    with pytest.raises(ValueError, match="cards: snapshot deletes"):
+        jobs.run_type2_day(spark, root, d2_in, fx.DAY_STAMPS[2], max_delete_fraction=0.5)
+    assert publish.current(spark, root).run_id == s1.run_id
+    # A normal day passes the guard (day 2 deletes about a tenth of the cards).
+    s2 = jobs.run_type2_day(spark, root, day_inputs(spark, 2), fx.DAY_STAMPS[2],
+                            max_delete_fraction=0.5)
+    assert s2.run_id != s1.run_id
