@@ -10,6 +10,7 @@ starts from Parquet scans: no lineage is carried from one run to the next.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +66,16 @@ def _meta(state: State, run: Run, stg: DataFrame) -> None:
     run.replace("meta", meta.update_watermark(m, stg, "stg_terminals").select(*META.fieldNames()))
 
 
+def _run_all(writes, threads: int = 4) -> None:
+    """Run independent segment writes as concurrent Spark jobs (the scheduler shares
+    the executors between them); the first failure is raised after all finished,
+    and the run is then not committed."""
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = [pool.submit(w) for w in writes]
+    for f in futures:
+        f.result()
+
+
 def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
                   compat: str = d2.DEFAULT, skip_loaded_files: bool = True,
                   max_delete_fraction: float | None = None) -> State:
@@ -86,17 +97,19 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
         for name, spec in DIMS.items():
             d2.deletion_guard(state.read(f"dim_{name}_hist"), stg[name], spec,
                               max_delete_fraction)
-    _meta(state, run, stg["terminals"])
+    writes = [lambda: _meta(state, run, stg["terminals"])]
     for name, spec in DIMS.items():
         hist = state.read(f"dim_{name}_hist")
         dim_ts = day.terminals_ts if name == "terminals" and day.terminals_ts else run_ts
         s = d2.unique_keys(d2.split_null_keys(stg[name].select(*spec.columns, "update_dt"),
                                               spec)[0], spec)
         delta = d2.snapshot_delta(hist.where(d2.is_open()), s, spec, dim_ts, compat)
-        run.history(f"dim_{name}_hist", delta)
+        writes.append(lambda t=f"dim_{name}_hist", df=delta: run.history(t, df))
     fact_tx = state.read("fact_transactions")
-    run.append("fact_passport_blacklist", stg["blacklist"])
-    run.append("fact_transactions", facts.new_rows(fact_tx, stg["transactions"], "trans_id"))
+    writes.append(lambda: run.append("fact_passport_blacklist", stg["blacklist"]))
+    writes.append(lambda: run.append(
+        "fact_transactions", facts.new_rows(fact_tx, stg["transactions"], "trans_id")))
+    _run_all(writes)
     rep = reports.run_reports(
         run.read("fact_transactions"), run.read("dim_cards_hist"), run.read("dim_accounts_hist"),
         run.read("dim_clients_hist"), run.read("fact_passport_blacklist"),
@@ -115,14 +128,17 @@ def run_type1_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
         return state
     run = Run(state, rid, run_ts, day.files)
     stg = stage_day(day, run_ts)
-    _meta(state, run, stg["terminals"])
+    writes = [lambda: _meta(state, run, stg["terminals"])]
     for name, spec in DIMS.items():
-        run.append(f"dim_{name}", d1.new_rows(state.read(f"dim_{name}"), stg[name], spec))
-    run.append("fact_passport_blacklist", stg["blacklist"])
-    run.append("fact_transactions_type1", staging.type1_transactions(stg["transactions"]))
+        rows = d1.new_rows(state.read(f"dim_{name}"), stg[name], spec)
+        writes.append(lambda t=f"dim_{name}", df=rows: run.append(t, df))
+    writes.append(lambda: run.append("fact_passport_blacklist", stg["blacklist"]))
+    writes.append(lambda: run.append("fact_transactions_type1",
+                                     staging.type1_transactions(stg["transactions"])))
     rep = reports.expired_passports(stg["clients"], run_ts).unionByName(
         reports.expired_contracts(stg["accounts"], run_ts))
-    run.append("rep_fraud_type1", rep)
+    writes.append(lambda: run.append("rep_fraud_type1", rep))
+    _run_all(writes)
     return run.commit()
 
 

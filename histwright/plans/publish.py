@@ -21,6 +21,7 @@ reloading a drop after a crash between commit and archiving).
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,21 +98,24 @@ class Run:
         self.files = sorted(set(files))
         self.tables = {k: list(v) for k, v in state.tables.items()}
         self.written: set[str] = set()
+        self._lock = threading.Lock()  # segments may be written from several threads
 
     def append(self, table: str, df: DataFrame) -> str:
         """Add ``df`` as this run's segment of an append-only table."""
         path = table_path(self.root, table, self.run_id)
         df.write.mode("overwrite").parquet(path)
-        self.tables[table] = [p for p in self.tables.get(table, []) if p != path] + [path]
-        self.written.add(path)
+        with self._lock:
+            self.tables[table] = [p for p in self.tables.get(table, []) if p != path] + [path]
+            self.written.add(path)
         return path
 
     def replace(self, table: str, df: DataFrame) -> str:
         """Rewrite a small table whole."""
         path = table_path(self.root, table, self.run_id)
         df.write.mode("overwrite").parquet(path)
-        self.tables[table] = [path]
-        self.written.add(path)
+        with self._lock:
+            self.tables[table] = [path]
+            self.written.add(path)
         return path
 
     def history(self, table: str, delta: DataFrame) -> list[str]:
@@ -125,10 +129,11 @@ class Run:
                      F.lit("open")).otherwise(F.lit("closed"))
         delta.withColumn("segment", seg).write.mode("overwrite").partitionBy("segment").parquet(path)
         closed, opened = f"{path}/segment=closed", f"{path}/segment=open"
-        old = [p for p in self.tables.get(table, [])
-               if not p.endswith("/segment=open") and not p.startswith(path)]
-        self.tables[table] = old + [closed, opened]
-        self.written |= {closed, opened}
+        with self._lock:
+            old = [p for p in self.tables.get(table, [])
+                   if not p.endswith("/segment=open") and not p.startswith(path)]
+            self.tables[table] = old + [closed, opened]
+            self.written |= {closed, opened}
         return [closed, opened]
 
     def create(self, table: str) -> None:
