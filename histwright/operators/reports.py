@@ -163,6 +163,9 @@ def contract_candidates(stats: DataFrame, compat: str) -> DataFrame:
         check = _no(F.col("has_midnight") & (F.col("event_dt").cast(TS) > F.col("_ct")))
     else:
         keep, check = _no(F.col("max_ts") > F.col("_ct")), F.lit(False)
+    # Implied by keep or check; it also keeps the day statistics identical to the
+    # passport report's, so a run computing both reuses one exchange for them.
+    stats = stats.where(F.col("max_ts") > F.col("_ct"))
     return stats.select("event_dt", "passport", "fio", "phone", keep.alias("keep"),
                         check.alias("check"))
 
