@@ -136,6 +136,25 @@ class Run:
             self.written |= {closed, opened}
         return [closed, opened]
 
+    def compact(self, table: str, keep_open: bool = True) -> str | None:
+        """Rewrite a table's segments into one segment of this run (small-files
+        maintenance). For a history table the current ``open`` segment is kept
+        as it is and only the closed segments are merged. Readers of older runs
+        keep their files."""
+        segs = self.tables.get(table, [])
+        opened = [p for p in segs if keep_open and p.endswith("/segment=open")]
+        merge = [p for p in segs if p not in opened]
+        if len(merge) < 2:
+            return None
+        path = f"{table_path(self.root, table, self.run_id)}/compacted"
+        df = State(self.spark, self.root, self.run_id, {table: merge},
+                   pending=self.written).read(table)
+        df.write.mode("overwrite").parquet(path)
+        with self._lock:
+            self.tables[table] = [path] + opened
+            self.written.add(path)
+        return path
+
     def create(self, table: str) -> None:
         """Declare an empty table (its schema is in ``schemas.TABLES``)."""
         self.tables.setdefault(table, [])
@@ -185,3 +204,13 @@ def drop_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
     for t in tables:
         run.drop(t)
     return run.commit()
+
+
+def compact_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
+                   tables=None) -> State:
+    """Publish a maintenance run that merges the segments of ``tables`` (default: all)."""
+    run = Run(current(spark, root, before=run_id), run_id, run_ts)
+    for t in tables or list(run.tables):
+        if t in TABLES:
+            run.compact(t)
+    return run.commit()
