@@ -20,14 +20,19 @@ def update_watermark(meta: DataFrame, stg: DataFrame, table_name: str,
     for the row of ``table_name``.
 
     The staged side is reduced to one row by a global aggregate (partial
-    aggregation on every partition), so the join below is between two tiny
-    frames. With ``upsert`` (default) a missing row is added; without it, as
-    in the original job, only an existing row is updated.
+    aggregation on every partition); it is then merged with the meta rows by a
+    union and a group-by on (schema_name, table_name), so no join is planned.
+    With ``upsert`` (default) a missing row is added; without it, as in the
+    original job, only an existing row is updated.
     """
+    keys = ["schema_name", "table_name"]
     mark = stg.agg(F.max(F.col("update_dt").cast(TS)).alias("_mark")).select(
-        F.lit(schema_name).alias("schema_name"), F.lit(table_name).alias("table_name"), "_mark")
-    how = "full_outer" if upsert else "left"
-    j = meta.withColumn("_had", F.lit(True)).join(mark, ["schema_name", "table_name"], how)
-    out = j.select("schema_name", "table_name",
-                   F.coalesce("_mark", "max_update_dt").alias("max_update_dt"), "_had")
-    return out.where(F.col("_had").isNotNull() | F.col("max_update_dt").isNotNull()).drop("_had")
+        F.lit(schema_name).alias("schema_name"), F.lit(table_name).alias("table_name"),
+        F.lit(None).cast(TS).alias("_old"), "_mark", F.lit(False).alias("_had"))
+    old = meta.select(*keys, F.col("max_update_dt").cast(TS).alias("_old"),
+                      F.lit(None).cast(TS).alias("_mark"), F.lit(True).alias("_had"))
+    merged = old.unionByName(mark).groupBy(*keys).agg(
+        F.coalesce(F.max("_mark"), F.max("_old")).alias("max_update_dt"),
+        F.bool_or("_had").alias("_had"))
+    keep = F.col("_had") | (F.col("max_update_dt").isNotNull() if upsert else F.lit(False))
+    return merged.where(keep).select(*keys, "max_update_dt")

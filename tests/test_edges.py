@@ -106,3 +106,19 @@ def test_midnight_operation_suppression(spark):
     assert [str(r.event_dt) for r in legacy.collect()] == ["2021-03-03"]
     default = reports.contract_events(tx, cards, acc, cli, prior, "2021-03-04 00:00:00")
     assert default.count() == 0
+
+
+def test_watermark_upsert_and_update_only(spark):
+    from histwright.operators import meta
+    stg = spark.createDataFrame([("2021-03-02 00:00:00",), ("2021-03-01 00:00:00",)], "u string") \
+        .select(F.col("u").cast(TS).alias("update_dt"))
+    seed = meta.seed(spark)
+    up = {r.table_name: str(r.max_update_dt) for r in
+          meta.update_watermark(seed, stg, "stg_terminals").collect()}
+    assert up == {"first_etl": "1900-01-01 00:00:00", "stg_terminals": "2021-03-02 00:00:00"}
+    only = meta.update_watermark(seed, stg, "stg_terminals", upsert=False)
+    assert [r.table_name for r in only.collect()] == ["first_etl"]
+    # An empty staging keeps the old mark.
+    again = meta.update_watermark(meta.update_watermark(seed, stg, "stg_terminals"),
+                                  stg.where("false"), "stg_terminals")
+    assert {r.table_name: str(r.max_update_dt) for r in again.collect()} == up
