@@ -27,6 +27,27 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, largest_shuffle_bytes: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized so shuffle partitions fit executor memory.
+
+    ``largest_shuffle_bytes`` is the biggest expected shuffle (for the daily run:
+    the transaction fact's (card, day) statistics, or the open versions of the
+    largest dimension). Partitions start at the larger of ``2 x cores`` and
+    ``shuffle / target`` and AQE coalesces them to the target size at run time;
+    partitions of a hot key above twice the target are split.
+    """
+    n = max(2 * total_cores, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "histwright", extra: dict | None = None) -> SparkSession:
     """A local session for tests and benches (never used by library code)."""
