@@ -1,0 +1 @@
+"""Sources: drop files, source tables, staging, and the test views over the driver tables."""

@@ -1,0 +1 @@
+"""Streaming: incoming drops as a file stream, one published daily run per file."""
