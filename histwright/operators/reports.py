@@ -80,6 +80,22 @@ def _day_stats(trans: DataFrame, late: bool = True) -> DataFrame:
             .groupBy("card_num", day.alias("event_dt")).agg(*aggs))
 
 
+def day_statistics(trans: DataFrame) -> DataFrame:
+    """The (card, day) statistics of a set of operations; mergeable (see
+    ``merge_statistics``), so a warehouse can keep them per load instead of
+    re-reading every operation for each report."""
+    return _day_stats(trans, late=True)
+
+
+def merge_statistics(stats: DataFrame) -> DataFrame:
+    """Combine statistics kept per load into one row per (card, day): the
+    maxima and the midnight flag are associative, so the result equals the
+    statistics of all operations at once."""
+    return stats.groupBy("card_num", "event_dt").agg(
+        F.max("max_ts").alias("max_ts"), F.max("max_late_ts").alias("max_late_ts"),
+        F.bool_or("has_midnight").alias("has_midnight"))
+
+
 def _fio(last: str = "last_name", first: str = "first_name", middle: str = "patronymic") -> Column:
     """Full name; NULL when any part is NULL."""
     return F.concat(F.col(last), F.lit(" "), F.col(first), F.lit(" "), F.col(middle))
@@ -170,31 +186,33 @@ def contract_candidates(stats: DataFrame, compat: str) -> DataFrame:
                         check.alias("check"))
 
 
-def _stats(trans, profiles, compat):
-    return _day_stats(trans, late=compat == LEGACY).join(profiles, "card_num")
+def _stats(trans, profiles, compat, stats=None):
+    day = merge_statistics(stats) if stats is not None else _day_stats(trans, late=compat == LEGACY)
+    return day.join(profiles, "card_num")
 
 
 # --- type 2: reports ---------------------------------------------------------------------------
 
 def passport_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
                     clients: DataFrame, blacklist: DataFrame, prior: DataFrame, run_ts,
-                    compat: str = DEFAULT) -> DataFrame:
+                    compat: str = DEFAULT, stats: DataFrame | None = None) -> DataFrame:
     """Operations with an expired passport (``trans_date > passport_valid_to``) or a
     blacklisted one (``entry_dt <= trans_date``): event ``'1'``.
 
     ``cards``, ``accounts``, ``clients`` are history dimensions (all versions),
-    ``blacklist`` the blacklist fact, ``prior`` earlier report rows.
+    ``blacklist`` the blacklist fact, ``prior`` earlier report rows. ``stats``
+    (kept (card, day) statistics, see ``day_statistics``) replaces ``trans``.
     """
     _check(compat)
     prof = card_profiles(cards, accounts, clients, blacklist).where(
         F.col("_vt").isNotNull() | F.col("_entry").isNotNull())
-    cand = passport_candidates(_stats(trans, prof, compat), compat)
+    cand = passport_candidates(_stats(trans, prof, compat, stats), compat)
     return _finish(cand, prior, EVENT_PASSPORT, run_ts, compat)
 
 
 def contract_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
                     clients: DataFrame, prior: DataFrame, run_ts,
-                    compat: str = DEFAULT) -> DataFrame:
+                    compat: str = DEFAULT, stats: DataFrame | None = None) -> DataFrame:
     """Operations after the account's contract ended (``trans_date > valid_to``): event ``'2'``.
 
     Accounts without a (known) client are reported with NULL passport, name and
@@ -202,17 +220,17 @@ def contract_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
     """
     _check(compat)
     prof = card_profiles(cards, accounts, clients).where(F.col("_ct").isNotNull())
-    cand = contract_candidates(_stats(trans, prof, compat), compat)
+    cand = contract_candidates(_stats(trans, prof, compat, stats), compat)
     return _finish(cand, prior, EVENT_CONTRACT, run_ts, compat)
 
 
 def run_reports(trans: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                 blacklist: DataFrame, prior: DataFrame, run_ts,
-                compat: str = DEFAULT) -> DataFrame:
+                compat: str = DEFAULT, stats: DataFrame | None = None) -> DataFrame:
     """Both reports of one run, as the rows to append (passport report first)."""
-    r1 = passport_events(trans, cards, accounts, clients, blacklist, prior, run_ts, compat)
+    r1 = passport_events(trans, cards, accounts, clients, blacklist, prior, run_ts, compat, stats)
     seen = prior.select("event_dt", "passport", "event_type")
     if compat == LEGACY:
         seen = seen.unionByName(r1.select("event_dt", "passport", "event_type"))
-    r2 = contract_events(trans, cards, accounts, clients, seen, run_ts, compat)
+    r2 = contract_events(trans, cards, accounts, clients, seen, run_ts, compat, stats)
     return r1.unionByName(r2)

@@ -110,10 +110,15 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
     writes.append(lambda: run.append(
         "fact_transactions", facts.new_rows(fact_tx, stg["transactions"], "trans_id")))
     _run_all(writes)
+    # (card, day) statistics of this run's new operations only: the reports merge
+    # the kept statistics instead of re-reading every operation each day.
+    new_tx = state.spark.read.schema(TABLES["fact_transactions"]).parquet(
+        run.tables["fact_transactions"][-1])
+    run.append("fact_card_day_stats", reports.day_statistics(new_tx))
     rep = reports.run_reports(
-        run.read("fact_transactions"), run.read("dim_cards_hist"), run.read("dim_accounts_hist"),
+        None, run.read("dim_cards_hist"), run.read("dim_accounts_hist"),
         run.read("dim_clients_hist"), run.read("fact_passport_blacklist"),
-        state.read("rep_fraud"), run_ts, compat)
+        state.read("rep_fraud"), run_ts, compat, stats=run.read("fact_card_day_stats"))
     run.append("rep_fraud", rep.select(*TABLES["rep_fraud"].fieldNames()))
     return run.commit()
 

@@ -113,6 +113,8 @@ REPORT = _struct(("event_dt", D), ("passport", S), ("fio", S), ("phone", S),
                  ("event_type", S), ("report_dt", TS))
 REPORT_TYPE1 = _struct(("client_id", S), ("blcklst_reason", S), ("report_dt", TS))
 META = _struct(("schema_name", S), ("table_name", S), ("max_update_dt", TS))
+CARD_DAY_STATS = _struct(("card_num", S), ("event_dt", D), ("max_ts", TS), ("max_late_ts", TS),
+                         ("has_midnight", T.BooleanType()))
 
 TABLES: dict[str, T.StructType] = {
     "fact_transactions": TRANSACTIONS,
@@ -121,6 +123,7 @@ TABLES: dict[str, T.StructType] = {
     "rep_fraud": REPORT,
     "rep_fraud_type1": REPORT_TYPE1,
     "meta": META,
+    "fact_card_day_stats": CARD_DAY_STATS,
     **{f"dim_{d.name}_hist": d.history_schema for d in DIMS.values()},
     **{f"dim_{d.name}": d.type1_schema for d in DIMS.values()},
 }
