@@ -136,7 +136,7 @@ class Run:
             self.written |= {closed, opened}
         return [closed, opened]
 
-    def compact(self, table: str, keep_open: bool = True) -> str | None:
+    def compact(self, table: str, keep_open: bool = True, transform=None) -> str | None:
         """Rewrite a table's segments into one segment of this run (small-files
         maintenance). For a history table the current ``open`` segment is kept
         as it is and only the closed segments are merged. Readers of older runs
@@ -149,6 +149,8 @@ class Run:
         path = f"{table_path(self.root, table, self.run_id)}/compacted"
         df = State(self.spark, self.root, self.run_id, {table: merge},
                    pending=self.written).read(table)
+        if transform is not None:  # e.g. re-merge kept statistics
+            df = transform(df)
         df.write.mode("overwrite").parquet(path)
         with self._lock:
             self.tables[table] = [path] + opened
@@ -209,8 +211,11 @@ def drop_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
 def compact_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
                    tables=None) -> State:
     """Publish a maintenance run that merges the segments of ``tables`` (default: all)."""
+    from ..operators.reports import merge_statistics
+
+    merges = {"fact_card_day_stats": merge_statistics}
     run = Run(current(spark, root, before=run_id), run_id, run_ts)
     for t in tables or list(run.tables):
         if t in TABLES:
-            run.compact(t)
+            run.compact(t, transform=merges.get(t))
     return run.commit()

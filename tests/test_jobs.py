@@ -116,12 +116,15 @@ def test_compaction_keeps_contents(spark):
     days = [day_inputs(spark, d) for d in (1, 2, 3)]
     st = jobs.replay(spark, root, days, [fx.DAY_STAMPS[d] for d in (1, 2, 3)])
     before = {t: rows(st.read(t)) for t in ("dim_cards_hist", "fact_transactions", "rep_fraud")}
+    from histwright.operators.reports import merge_statistics
+    stats_before = rows(merge_statistics(st.read("fact_card_day_stats")))
     segs = len(st.segments("dim_cards_hist"))
     c = publish.compact_tables(spark, root, "20210303T230000", "2021-03-03 23:00:00")
     assert len(c.segments("dim_cards_hist")) == 2 < segs
     assert c.segments("dim_cards_hist")[1].endswith("/segment=open")
     for t, r in before.items():
         assert rows(c.read(t)) == r
+    assert rows(c.read("fact_card_day_stats")) == stats_before
     # The next daily run continues from the compacted state.
     nxt = jobs.run_type2_day(spark, root, day_inputs(spark, 3), "2021-03-04 08:00:00",
                              skip_loaded_files=False)
