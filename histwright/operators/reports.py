@@ -43,7 +43,6 @@ from ..schemas import EVENT_CONTRACT, EVENT_PASSPORT, REASON_CONTRACT, REASON_PA
 
 DEFAULT = "default"
 LEGACY = "legacy"
-REPORT_COLUMNS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
 
 # --- type 1 ----------------------------------------------------------------------------------

@@ -9,7 +9,6 @@ starts from Parquet scans: no lineage is carried from one run to the next.
 
 from __future__ import annotations
 
-import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -157,8 +156,3 @@ def replay(spark: SparkSession, root: str, days, run_times, kind: str = "type2",
         else:
             state = run_type1_day(spark, root, day, ts)
     return state
-
-
-def now_stamp() -> str:
-    """Wall clock at second resolution, for callers that run on a schedule."""
-    return stamp_text(_dt.datetime.now())

@@ -7,8 +7,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from histwright.functions import change_predicate_text, file_date
-from histwright.schemas import CLIENTS, TRANSACTIONS_FILE_ORDER
+from histwright.functions import change_predicate_text, file_date, row_changed
+from histwright.functions.compare import compared_columns
+from histwright.session import cluster_conf
+from histwright.schemas import (BLACKLIST_FILE_ORDER, CLIENTS, TERMINALS_FILE_ORDER,
+                                TRANSACTIONS_FILE_ORDER)
 from histwright.session import scratch_dir
 from histwright.sources import staging
 from histwright.sources.files import read_delimited, read_source_table, read_workbook_sheet
@@ -55,8 +58,7 @@ def test_workbook_sheet_with_decoder(spark):
         rows = [line.split(",") for line in content.decode().splitlines()]
         return pd.DataFrame([[v or None for v in r] for r in rows])
 
-    df = read_workbook_sheet(spark, d, "terminals",
-                             ["terminal_id", "terminal_type", "terminal_city", "terminal_address"],
+    df = read_workbook_sheet(spark, d, "terminals", TERMINALS_FILE_ORDER,
                              decoder=decoder, with_file_date=True)
     got = sorted((r.terminal_id, r.terminal_address, str(r.file_date.date())) for r in df.collect())
     assert got == [("P1", "addr 01", "2021-03-01"), ("P1", "addr 02", "2021-03-02"),
@@ -80,3 +82,34 @@ def test_change_predicate_text(spark):
     assert txt[1] == ("(stg.last_name <> tgt.last_name or ( stg.last_name is null and "
                       "tgt.last_name is not null ) or ( stg.last_name is not null and "
                       "tgt.last_name is null ))")
+
+
+def test_blacklist_workbook_dates(spark):
+    d = scratch_dir("xlsx-")
+    with open(f"{d}/passport_blacklist_01032021.xlsx", "wb") as f:
+        f.write(b"2021-03-01 00:00:00,P1\n2021-02-27,P2\n")
+
+    def decoder(content: bytes, sheet: str) -> pd.DataFrame:
+        return pd.DataFrame([line.split(",") for line in content.decode().splitlines()])
+
+    raw = read_workbook_sheet(spark, d, "blacklist", BLACKLIST_FILE_ORDER, decoder=decoder)
+    got = sorted((str(r.entry_dt), r.passport_num) for r in staging.stage_blacklist(raw).collect())
+    assert got == [("2021-02-27 00:00:00", "P2"), ("2021-03-01 00:00:00", "P1")]
+
+
+def test_compared_columns_drive_change_test(spark):
+    snap = spark.createDataFrame([("C1", "L", "2021-03-01 08:00:00")],
+                                 "client_id string, last_name string, update_dt string")
+    cols = compared_columns(snap, exclude=["client_id"])
+    assert cols == ["last_name"]
+    a, b = snap.alias("a"), snap.withColumn("last_name", F.lit(None)).alias("b")
+    j = a.join(b, "client_id").select(row_changed(cols, "a", "b").alias("c"))
+    assert j.first().c is True
+
+
+def test_cluster_conf_sizes_partitions():
+    c = cluster_conf(total_cores=8000, largest_shuffle_bytes=40 << 40)
+    assert int(c["spark.sql.shuffle.partitions"]) == (40 << 40) // (256 << 20)
+    small = cluster_conf(total_cores=64, largest_shuffle_bytes=1 << 30)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
+    assert c["spark.sql.autoBroadcastJoinThreshold"] == "-1"
