@@ -25,10 +25,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _text_times(df: DataFrame) -> DataFrame:
-    """Cast every timestamp column to text (``yyyy-MM-dd HH:mm:ss``)."""
-    return df.select(*[F.col(f.name).cast("string").alias(f.name)
-                       if f.dataType.typeName().startswith("timestamp") else F.col(f.name)
-                       for f in df.schema.fields])
+    """Timestamps, dates and decimals as text (``yyyy-MM-dd HH:mm:ss``, ``yyyy-MM-dd``,
+    plain decimal), as in the oracle SQL."""
+    def text(t) -> bool:
+        return t.typeName().startswith(("timestamp", "date", "decimal"))
+    return df.select(*[F.col(f.name).cast("string").alias(f.name) if text(f.dataType)
+                       else F.col(f.name) for f in df.schema.fields])
 
 
 def _stamps(dim: str) -> dict[int, str]:
@@ -156,7 +158,7 @@ def q_fact_append_all_blacklist(spark, sf):
 def q_fact_append_all_transactions(spark, sf):
     b1 = staging.type1_transactions(fx.transactions_batch(spark, sf, 1))
     b2 = staging.type1_transactions(fx.transactions_batch(spark, sf, 2))
-    return facts.append_all(b1, b2)
+    return _text_times(facts.append_all(b1, b2))
 
 
 def q_fact_append_new_transactions(spark, sf):
