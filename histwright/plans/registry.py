@@ -2,7 +2,7 @@
 
 Every query reads the driver's tables whole (through the derived day views of
 ``histwright.sources.fixtures``) and runs the package's operators on them.
-Timestamps are returned as text so both engines print them alike.
+Timestamps, dates and decimals are returned as text so both engines print them alike.
 """
 
 from __future__ import annotations
