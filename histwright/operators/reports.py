@@ -107,7 +107,11 @@ def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     (with ``blacklist``) the first blacklist entry of the passport.
 
     Dimension-sized: the fact is joined to it once. Accounts are required (both
-    reports need one); clients and blacklist entries are optional.
+    reports need one); clients and blacklist entries are optional. The
+    account-level part (account -> client -> first blacklist entry) is joined
+    first, on the account-sized side; the card side meets it once, so the
+    largest dimension is shuffled once here (or not at all when AQE measures
+    the account profile small enough to broadcast).
     """
     c = cards.select(F.trim("card_num").alias("card_num"), "account_num").where(
         F.col("account_num").isNotNull())
@@ -115,13 +119,13 @@ def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     cl = clients.select(F.col("client_id").alias("client"),
                         F.col("passport_num").alias("passport"), _fio().alias("fio"), "phone",
                         F.col("passport_valid_to").cast(TS).alias("_vt"))
-    prof = c.join(a, "account_num").join(cl, "client", "left")
+    acc = a.join(cl, "client", "left")
     if blacklist is not None:
         first_entry = (blacklist.where(F.col("passport_num").isNotNull())
                        .groupBy(F.col("passport_num").alias("passport"))
                        .agg(F.min(F.col("entry_dt").cast(TS)).alias("_entry")))
-        prof = prof.join(first_entry, "passport", "left")
-    return prof
+        acc = acc.join(first_entry, "passport", "left")
+    return c.join(acc, "account_num")
 
 
 def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str) -> DataFrame:
