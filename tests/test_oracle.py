@@ -55,3 +55,18 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["hist_apply_terminals", "report_passport_events_legacy",
+                                 "stage_transactions_typed", "meta_watermark"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+    try:
+        df = E.queries()[key](spark, SF)
+        got = df.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = con.execute(E.oracle_sql()[key])
+    ocols = [d[0] for d in cur.description]
+    assert canon(df.columns, got) == canon(ocols, cur.fetchall())
