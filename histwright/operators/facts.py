@@ -12,21 +12,31 @@ def append_all(fact: DataFrame, stg: DataFrame) -> DataFrame:
 
 
 def new_rows(fact: DataFrame, stg: DataFrame, key: str, dedupe_batch: bool = False,
-             bound_by_range: bool = True) -> DataFrame:
+             bound_by_range: bool = True, eager_bounds: bool = False) -> DataFrame:
     """Staged rows whose ``key`` is not in the fact yet.
 
     Duplicate ids inside one batch all pass unless ``dedupe_batch``. Only the
     fact's key column is read; with ``bound_by_range`` (exact: an id outside
-    the batch's [min, max] cannot match) it is filtered by two scalar
-    subqueries over the batch before the shuffle, so a daily batch shuffles the
-    fact ids of its own id range, not the whole fact.
+    the batch's [min, max] cannot match) it is filtered before the shuffle, so
+    a daily batch shuffles the fact ids of its own id range, not the whole fact.
+    The bounds are scalar subqueries (lazy); with ``eager_bounds`` they are
+    computed first (two numbers reach the driver) and become literal filters
+    that Parquet pushes down: files and row groups whose id statistics lie
+    outside the range are not read at all.
     """
     ids = fact.select(key)
     if bound_by_range:
         k = F.col(key)
-        lo = stg.select(F.min(key)).scalar()
-        hi = stg.select(F.max(key)).scalar()
-        ids = ids.where((k >= lo) & (k <= hi))
+        if eager_bounds:
+            b = stg.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+            if b.lo is None:  # no staged ids: nothing can match
+                ids = ids.where(F.lit(False))
+            else:
+                ids = ids.where((k >= F.lit(b.lo)) & (k <= F.lit(b.hi)))
+        else:
+            lo = stg.select(F.min(key)).scalar()
+            hi = stg.select(F.max(key)).scalar()
+            ids = ids.where((k >= lo) & (k <= hi))
     rows = stg.join(ids, key, "left_anti")
     if dedupe_batch:
         rows = rows.dropDuplicates([key])

@@ -106,8 +106,11 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
         writes.append(lambda t=f"dim_{name}_hist", df=delta: run.history(t, df))
     fact_tx = state.read("fact_transactions")
     writes.append(lambda: run.append("fact_passport_blacklist", stg["blacklist"]))
-    writes.append(lambda: run.append(
-        "fact_transactions", facts.new_rows(fact_tx, stg["transactions"], "trans_id")))
+    # Fact segments are sorted by id, so their Parquet statistics let the next
+    # runs' id-range filter skip them.
+    writes.append(lambda: run.append("fact_transactions", facts.new_rows(
+        fact_tx, stg["transactions"], "trans_id", eager_bounds=True)
+        .sortWithinPartitions("trans_id")))
     _run_all(writes)
     # (card, day) statistics of this run's new operations only: the reports merge
     # the kept statistics instead of re-reading every operation each day.
