@@ -145,3 +145,11 @@ def test_kept_statistics_report_equals_full_recompute(spark):
                                fx.DAY_STAMPS[2])
     assert rows(published) == rows(full)
     assert published.count() > 0
+
+
+def test_legacy_replay_matches_in_memory_legacy_history(spark):
+    root = scratch_dir("wh-")
+    days = [day_inputs(spark, d) for d in (1, 2)]
+    st = jobs.replay(spark, root, days, [fx.DAY_STAMPS[1], fx.DAY_STAMPS[2]], compat="legacy")
+    for dim in ("cards", "terminals"):
+        assert rows(st.read(f"dim_{dim}_hist")) == rows(R.history(spark, SF, dim, 2, "legacy"))
