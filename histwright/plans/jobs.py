@@ -106,17 +106,20 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
         writes.append(lambda t=f"dim_{name}_hist", df=delta: run.history(t, df))
     fact_tx = state.read("fact_transactions")
     writes.append(lambda: run.append("fact_passport_blacklist", stg["blacklist"]))
-    # Fact segments are sorted by id, so their Parquet statistics let the next
-    # runs' id-range filter skip them.
-    writes.append(lambda: run.append("fact_transactions", facts.new_rows(
-        fact_tx, stg["transactions"], "trans_id", eager_bounds=True)
-        .sortWithinPartitions("trans_id")))
+
+    def new_facts() -> None:
+        # Fact segments are sorted by id, so their Parquet statistics let the next
+        # runs' id-range filter skip them.
+        path = run.append("fact_transactions", facts.new_rows(
+            fact_tx, stg["transactions"], "trans_id", eager_bounds=True)
+            .sortWithinPartitions("trans_id"))
+        # (card, day) statistics of this run's new operations only: the reports
+        # merge the kept statistics instead of re-reading every operation each day.
+        new_tx = state.spark.read.schema(TABLES["fact_transactions"]).parquet(path)
+        run.append("fact_card_day_stats", reports.day_statistics(new_tx))
+
+    writes.append(new_facts)
     _run_all(writes)
-    # (card, day) statistics of this run's new operations only: the reports merge
-    # the kept statistics instead of re-reading every operation each day.
-    new_tx = state.spark.read.schema(TABLES["fact_transactions"]).parquet(
-        run.tables["fact_transactions"][-1])
-    run.append("fact_card_day_stats", reports.day_statistics(new_tx))
     rep = reports.run_reports(
         None, run.read("dim_cards_hist"), run.read("dim_accounts_hist"),
         run.read("dim_clients_hist"), run.read("fact_passport_blacklist"),
