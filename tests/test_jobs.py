@@ -153,3 +153,16 @@ def test_legacy_replay_matches_in_memory_legacy_history(spark):
     st = jobs.replay(spark, root, days, [fx.DAY_STAMPS[1], fx.DAY_STAMPS[2]], compat="legacy")
     for dim in ("cards", "terminals"):
         assert rows(st.read(f"dim_{dim}_hist")) == rows(R.history(spark, SF, dim, 2, "legacy"))
+
+
+def test_failed_write_publishes_nothing(spark):
+    import pytest
+    root = scratch_dir("wh-")
+    s1 = jobs.run_type2_day(spark, root, day_inputs(spark, 1), fx.DAY_STAMPS[1])
+    bad = day_inputs(spark, 2)
+    bad.cards = bad.cards.unionByName(bad.cards.limit(1))  # a duplicate card number
+    with pytest.raises(Exception, match="duplicate card_num"):
+        jobs.run_type2_day(spark, root, bad, fx.DAY_STAMPS[2])
+    now = publish.current(spark, root)
+    assert now.run_id == s1.run_id
+    assert rows(now.read("dim_cards_hist")) == rows(s1.read("dim_cards_hist"))
