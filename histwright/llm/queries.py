@@ -11,10 +11,25 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, winnowing
+from . import packing, quality, toxicity, winnowing
 from .common import ship_package, table
 
 
+QUALITY_CUT, TOXIC_CUT = 0.3, 0.5
+
+
+def op1_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
+def op8_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_CUT).cast("int"))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -57,7 +72,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
-QUERIES = {f.__name__: f for f in (op6_winnowing, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_subword_quality, op6_winnowing, op8_ftrl_toxicity, op9_packing)}
 
 
 def _shipped(query):
