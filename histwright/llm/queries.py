@@ -11,7 +11,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, toxicity, winnowing
+from . import packing, quality, superminhash, toxicity, winnowing
 from .common import ship_package, table
 
 
@@ -24,6 +24,10 @@ def op1_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
 
 
+def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -72,7 +76,27 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_subword_quality, op6_winnowing, op8_ftrl_toxicity, op9_packing)}
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+link AS (
+  SELECT u, v FROM common JOIN size x ON x.doc_id = u JOIN size y ON y.doc_id = v
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT a, v FROM reach JOIN link ON u = b)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(b) AS component_id,
+       min(b) = d.doc_id AS kept
+FROM d LEFT JOIN size USING (doc_id) JOIN reach ON a = d.doc_id GROUP BY d.doc_id, n
+"""
+
+QUERIES = {f.__name__: f for f in (op1_subword_quality, op6_winnowing, op7_superminhash, op8_ftrl_toxicity, op9_packing)}
 
 
 def _shipped(query):
@@ -88,4 +112,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_winnowing": OP6_SQL}
+    return {"op6_winnowing": OP6_SQL, "op7_superminhash": OP7_SQL}
