@@ -11,8 +11,8 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, superminhash, toxicity, winnowing
-from .common import ship_package, table
+from . import packing, quality, simhash, superminhash, toxicity, winnowing
+from .common import materialize, ship_package, table
 
 
 QUALITY_CUT, TOXIC_CUT = 0.3, 0.5
@@ -34,6 +34,21 @@ def op8_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_CUT).cast("int"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, and for each id divisible by 100 how many other documents
+    have a fingerprint within the search radius (NULL for the others)."""
+    prints = materialize(simhash.edited_prints(table(spark, sf_dir, "documents")), "op4")
+    asked = F.col("doc_id") % 100 == 0
+    found = simhash.near_counts(prints.where(asked).select("f0", "f1"), prints)
+    f, e, g = ([F.col(f"{x}{i}") for i in range(2)] for x in "feg")
+    return (prints.withColumn("asked", F.coalesce(asked, F.lit(False)))
+            .join(found.withColumn("asked", F.lit(True)), ["f0", "f1", "asked"], "left")
+            .select("doc_id", "n_chars", "edited_sha256", simhash.as_text(f).alias("fingerprint"),
+                    simhash.as_text(e).alias("edited_fingerprint"),
+                    simhash.likeness(f, e).alias("near_edited"), simhash.likeness(f, g).alias("near_next"),
+                    (F.col("n_within") - 1).alias("n_near")))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -96,7 +111,7 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(b) AS compone
 FROM d LEFT JOIN size USING (doc_id) JOIN reach ON a = d.doc_id GROUP BY d.doc_id, n
 """
 
-QUERIES = {f.__name__: f for f in (op1_subword_quality, op6_winnowing, op7_superminhash, op8_ftrl_toxicity, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_subword_quality, op4_simhash, op6_winnowing, op7_superminhash, op8_ftrl_toxicity, op9_packing)}
 
 
 def _shipped(query):
