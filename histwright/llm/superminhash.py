@@ -11,10 +11,11 @@ are linked when ``100 * |A & B| >= 75 * |A | B|``; a document's group is its con
 2. Documents with equal sets collapse to their smallest id, so copies cost nothing more.
 3. Every bucket links its members to its smallest one (a star, linear in the bucket).
    Star pairs are confirmed on full sets, and confirmed pairs grouped.
-4. Members of a bucket that are still in different groups are paired, unless their sizes or their
-   distances to the bucket's smallest member rule a link out (Jaccard distance is a metric,
-   so ``d(u,v) >= |d(u,p) - d(v,p)|``). These pairs are confirmed on full sets too, so
-   no link that the bands found is lost, and pairs inside a group are never made.
+4. Members of buckets that still hold different groups are joined exactly: a set's elements are
+   ordered from rare to frequent among these members, and two linked sets share an element
+   in the first quarter of both, with enough elements after it on both sides. Such
+   pairs of different groups are confirmed on full sets too, so no link that the
+   bands found is lost, and neither pairs inside a group nor all pairs of a bucket are made.
 
 Sets travel only for documents that share a bucket. Hot keys: bucket minima are aggregated before
 the shuffle, star and set joins are split by adaptive execution.
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textnum as tn
@@ -213,7 +214,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
     found = star.where(linked).select("u", "v").unionByName(tied)
     first = components(found)
 
-    rest = overlaps(open_pairs(buckets, star, first), sets).where(linked).select("u", "v")
+    rest = overlaps(open_pairs(buckets, first, sets), sets).where(linked).select("u", "v")
     rest = materialize(rest, "smh-rest")
     groups = components(found.unionByName(rest)) if rest.take(1) else first
 
@@ -225,22 +226,44 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
 
 
-def open_pairs(buckets: DataFrame, star: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different groups that size and distance to its smallest member allow."""
-    distance = 1 - F.col("common") / F.col("total")
-    s = star.select("u", F.col("v").alias("p"), distance.alias("d"))
-    g = groups.select(F.col("node").alias("u"), "root")
-    held = (buckets.join(s, ["u", "p"], "left").join(g, "u", "left")
-            .select("key", "u", "n", F.coalesce("d", F.lit(0.0)).alias("d"),
-                    F.coalesce("root", "u").alias("root")))
+def set_elements(sets: DataFrame) -> DataFrame:
+    """One row per element: u, root, n (size), sid (which set of u), e."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                x = [np.frombuffer(v.as_buffer(), "<i8") for v in part.column(2)]
+                n = np.array([len(v) for v in x])
+                u, root, sid = (np.repeat(part.column(c).to_numpy(), n) for c in (0, 1, 3))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, pa.int64()) for v in (u, root, np.repeat(n, n), sid, np.concatenate(x))],
+                    ["u", "root", "n", "sid", "e"])
+
+    return sets.select("u", "root", "set", F.xxhash64("set").alias("sid")).mapInArrow(
+        run, "u long, root long, n long, sid long, e long")
+
+
+def open_pairs(buckets: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v) of different groups that can be linked, among members of buckets with several groups.
+
+    Prefix and positional filters of exact set joins: with elements in one global order, a
+    pair's first common element stands at i and j, and at most ``min(n_u - i, n_v - j)`` are common.
+    """
+    held = (buckets.select("key", "u").join(groups.select(F.col("node").alias("u"), "root"), "u", "left")
+            .withColumn("root", F.coalesce("root", "u")))
     mixed = (held.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
              .where("a < b").select("key"))
-    held = materialize(held.join(mixed, "key", "left_semi"), "smh-open")
-    a, b = held.alias("a"), held.alias("b")
-    limit = 1 - SHARE / 100 + 1e-9
-    return (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") < F.col("b.root"))
-                   & (F.abs(F.col("a.d") - F.col("b.d")) <= limit)
-                   & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * SHARE))
-            # With the smallest member itself (distance 0) the pair is a star pair.
-            .where((F.col("a.d") > 0) & (F.col("b.d") > 0))
+    members = held.join(mixed, "key", "left_semi").select("u", "root").distinct()
+    el = materialize(set_elements(sets.withColumnRenamed("doc_id", "u").join(members, "u")), "smh-elements")
+    common = el.groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    one = Window.partitionBy("u", "sid")
+    # Elements of no other member come first; only their number matters.
+    place = F.col("n") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("df", "e")) - 1
+    prefix = materialize(el.join(common, "e").withColumn("at", place)
+                         .where(F.col("at") * 100 <= F.col("n") * (100 - SHARE))
+                         .select("u", "root", "n", "e", "at"), "smh-prefix")
+    a, b = prefix.alias("a"), prefix.alias("b")
+    most = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    return (a.join(b, (F.col("a.e") == F.col("b.e")) & (F.col("a.root") < F.col("b.root"))
+                   & (most * 100 >= (F.col("a.n") + F.col("b.n") - most) * SHARE))
             .select(F.col("a.u").alias("u"), F.col("b.u").alias("v")).distinct())
