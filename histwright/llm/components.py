@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+#: Links that one task holds in its union-find.
+LINKS_PER_TASK = 200_000
+
 
 def local_forest(links: DataFrame) -> DataFrame:
     """Union-find over each partition: every node's link to its smallest one there."""
@@ -69,12 +72,20 @@ def components(links: DataFrame) -> DataFrame:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")),
                             F.countDistinct("u")).first())
 
-    now = materialize(local_forest(links.where("u <> v").repartition("v")), "cc")
+    def forest(df: DataFrame, n: int) -> DataFrame:
+        # Sized by rows, so that a round over few links is not hundreds of near-empty tasks.
+        tasks = -(-n // LINKS_PER_TASK)
+        return materialize(local_forest(df.repartition(tasks, "v") if tasks > 1 else df.coalesce(1)), "cc-forest")
+
+    now = materialize(links.where("u <> v").select("u", "v").distinct(), "cc-links")
+    n = now.count()
+    now = forest(now, n)
+    if n <= LINKS_PER_TASK:  # one partition's forest is the answer
+        return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     seen = state(now)
-    while seen[0]:
-        now = materialize(small_star(large_star(local_forest(now))), "cc")
+    while True:
+        now = forest(materialize(small_star(large_star(now)), "cc"), seen[0])
         after = state(now)
         if after == seen and after[0] == after[2]:
-            break
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = after
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
