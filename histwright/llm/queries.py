@@ -11,7 +11,8 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, superminhash, toxicity, winnowing
+from . import (line_dedup, lm_score, packing, pii, quality, simhash, superminhash, toxicity, warc_fixity,
+               winnowing)
 from .common import materialize, ship_package, table
 
 
@@ -34,6 +35,50 @@ def op8_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_CUT).cast("int"))
 
 
+def op2_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return done.select("doc_id", "n_lines", "n_removed", "left_whole",
+                       F.length(text).cast("long").alias("n_chars"),
+                       F.sha2(text.cast("binary"), 256).alias("text_sha256"))
+
+
+def op3_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records in two replicas, of which the second has altered and lost some; the audit finds them.
+
+    Planted damage: a page whose id leaves 13 modulo 97 has one more byte at its end changed, one whose id
+    leaves 5 modulo 211 is gone.
+    """
+    record = warc_fixity.record_bytes(F.col("url"), F.col("html"))
+    held = F.when(F.col("page_id") % 97 == 13, F.concat(
+        F.substring(F.col("record"), 1, F.octet_length("record") - 1), F.lit("!").cast("binary"))).otherwise(
+        F.col("record"))
+    pages = (table(spark, sf_dir, "pages").select("page_id", record.alias("record"))
+             .select("page_id", F.sha2("record", 256).alias("digest"), F.sha2(held, 256).alias("held"),
+                     F.octet_length("record").cast("long").alias("length")))
+    records = materialize(warc_fixity.catalogue(materialize(
+        warc_fixity.numbered_copies(pages), "op3-records")), "op3-catalogue")
+    a = records.select("file", "offset", "length", "digest")
+    b = (records.where(F.coalesce(F.col("page_id") % 211 != 5, F.lit(True)))
+         .select("file", "offset", "length", F.col("held").alias("digest")))
+    found = warc_fixity.audit(a, b)
+    return (found.join(records.select("file", "offset", "page_id"), ["file", "offset"])
+            .select("page_id", "file", "offset", "length", "digest", "replica_digest", "status"))
+
+
+def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), pii.TEST_KEY)
+
+
+def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled of quality 1. Background: all documents."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    good = (labels.where("quality = 1").select(F.col("doc_id")).distinct()
+            .withColumn("target", F.lit(True)))
+    models = lm_score.fit(docs.select("doc_id", "text").join(good, "doc_id", "left"))
+    return lm_score.score(docs, models)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document, and for each id divisible by 100 how many other documents
     have a fingerprint within the search radius (NULL for the others)."""
@@ -111,7 +156,51 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(b) AS compone
 FROM d LEFT JOIN size USING (doc_id) JOIN reach ON a = d.doc_id GROUP BY d.doc_id, n
 """
 
-QUERIES = {f.__name__: f for f in (op1_subword_quality, op4_simhash, op6_winnowing, op7_superminhash, op8_ftrl_toxicity, op9_packing)}
+OP2_SQL = r"""
+WITH l AS (
+  SELECT doc_id, source, pos, line, trim(line, ' ' || chr(9) || chr(13)) AS bare FROM (
+    SELECT doc_id, source, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM (
+      SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+spread AS (
+  SELECT bare FROM l WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10),
+flagged AS (SELECT l.*, (bare IN (SELECT bare FROM spread)) AS hit FROM l),
+docs AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_hit,
+         coalesce(sum(length(line)) FILTER (hit), 0) AS lost, sum(length(line)) + count(*) - 1 AS n,
+         coalesce(string_agg(line, chr(10) ORDER BY pos), '') AS whole,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit), '') AS rest
+  FROM flagged GROUP BY doc_id)
+SELECT doc_id, n_lines, CASE WHEN lost > n * 0.5 THEN 0 ELSE n_hit END AS n_removed, lost > n * 0.5 AS left_whole,
+       CAST(length(t) AS BIGINT) AS n_chars, sha256(t) AS text_sha256
+FROM (SELECT *, CASE WHEN lost > n * 0.5 THEN whole ELSE rest END AS t FROM docs)
+"""
+
+OP3_SQL = r"""
+WITH r AS (
+  SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+      || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13)
+      || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+      || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS rec FROM pages),
+d AS (
+  SELECT page_id, strlen(rec) AS length, sha256(rec) AS digest,
+         sha256(CASE WHEN page_id % 97 = 13 THEN left(rec, length(rec) - 1) || '!' ELSE rec END) AS held FROM r),
+c AS (
+  SELECT *, row_number() OVER (PARTITION BY page_id, digest) - 1 AS copy,
+         greatest(1, CAST(ceil(sum(length) OVER () / 4194304.0) AS BIGINT)) AS files FROM d),
+f AS (
+  SELECT *, CAST('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '') || '|' || copy || '|' || digest), 1, 8)
+              AS BIGINT) % files AS file FROM c),
+o AS (
+  SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id NULLS FIRST, digest, copy
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM f)
+SELECT page_id, file, CAST(off AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length, digest,
+       CASE WHEN page_id % 211 = 5 THEN NULL ELSE held END AS replica_digest,
+       CASE WHEN page_id % 211 = 5 THEN 'missing' ELSE 'changed' END AS status
+FROM o WHERE page_id % 211 = 5 OR digest <> held
+"""
+
+QUERIES = {f.__name__: f for f in (op1_subword_quality, op2_site_spread, op3_merkle_fixity, op4_simhash, op5_feistel_pseudonyms, op6_winnowing, op7_superminhash, op8_ftrl_toxicity, op9_packing,
+                                   op10_cross_entropy_difference)}
 
 
 def _shipped(query):
@@ -127,4 +216,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_winnowing": OP6_SQL, "op7_superminhash": OP7_SQL}
+    return {"op2_site_spread": OP2_SQL, "op3_merkle_fixity": OP3_SQL, "op6_winnowing": OP6_SQL,
+            "op7_superminhash": OP7_SQL}

@@ -14,7 +14,7 @@ hash as empty; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -98,19 +98,27 @@ def audit(a: DataFrame, b: DataFrame, leaf_bytes: int = LEAF_BYTES, fanout: int
 
 
 def catalogue(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Deal records ``(page_id, digest, length, ...)`` out to WARC files and give each its offset.
+    """Deal records ``(page_id, copy, digest, length, ...)`` out to WARC files and give each its offset.
 
-    Files are dealt by hash of id, digest and copy number, as many as the bytes
-    need, so no id or group of equal records can fill one file. Inside a file records are in order of id.
+    Files are dealt by hash of id, copy number and digest, as many as the bytes
+    need, so no id and no group of equal records fills one file. Inside a file records stand in
+    order of id, digest and copy.
     """
-    from pyspark.sql import Window
     total = records.agg(F.sum("length")).first()[0] or 0
     files = max(1, -(-total // file_bytes))
-    copy = F.row_number().over(Window.partitionBy("page_id", "digest", F.pmod(F.xxhash64("url"), F.lit(64)))
-                               .orderBy("url"))
-    del copy
-    key = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "digest")
+    key = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+                      F.col("copy").cast("string"), "digest")
     number = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long")
-    order = Window.partitionBy("file").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    order = (Window.partitionBy("file").orderBy("page_id", "digest", "copy")
+             .rowsBetween(Window.unboundedPreceding, -1))
     return (records.withColumn("file", number % files)
             .withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0).cast("long"))))
+
+
+def numbered_copies(records: DataFrame) -> DataFrame:
+    """Equal records (all columns) as one row each with a ``copy`` number from 0.
+
+    Counted by aggregation, so a page that a third of all rows repeat is one row in the shuffle.
+    """
+    return (records.groupBy(*records.columns).agg(F.count(F.lit(1)).alias("n"))
+            .select(*records.columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy")))
