@@ -142,3 +142,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     return (docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score"))
+
+
+def keep(docs: DataFrame, model: Model, cut: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score at least ``cut``."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*sent.value)
+        for batch in batches:
+            raw, offs = tn.utf8(batch.column(at))
+            good = [own.scores(r, o) >= cut for _, _, r, o in tn.chunks(raw, offs)]
+            if good:
+                yield batch.filter(pa.array(np.concatenate(good)))
+
+    return docs.mapInArrow(run, docs.schema)

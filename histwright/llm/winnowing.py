@@ -99,6 +99,11 @@ def item_grams(items: DataFrame, span: int, k: int) -> DataFrame:
     return items.select("item_id", "text").mapInArrow(run, f"item_id long, hit {HIT}").select("item_id", "hit.*")
 
 
+def row_key(text: Column) -> Column:
+    """Tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def document_hits(docs: DataFrame, bitmap, lengths: list[int], span: int, k: int) -> DataFrame:
     """(doc_id, row_key, n_words, hits) of every document; hits that the bitmap lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,8 +128,7 @@ def document_hits(docs: DataFrame, bitmap, lengths: list[int], span: int, k: int
                      pa.array(w.counts(), pa.int64()), pa.array(hits, pa.list_(_HIT))],
                     ["doc_id", "row_key", "n_words", "hits"])
 
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    return (docs.select("doc_id", key.alias("row_key"), "text")
+    return (docs.select("doc_id", row_key(F.col("text")).alias("row_key"), "text")
             .mapInArrow(run, f"doc_id long, row_key long, n_words long, hits array<{HIT}>"))
 
 
@@ -139,7 +143,7 @@ def _equal_run(mine: str, theirs: str, reach: int) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K,
                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """doc_id, n_words, n_hit, item_ids (sorted as text), contaminated: one row per document."""
+    """doc_id, row_key, n_words, n_hit, item_ids (sorted as text), contaminated: one row per document."""
     spark = docs.sparkSession
     grams = materialize(item_grams(benchmark, span, k).distinct(), "winnow-items")
     bits = (grams.select("kind", F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("bit"))
@@ -171,7 +175,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
     same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.row_key") == F.col("f.row_key"))
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return d.join(f, same, "left").select(
-        "d.doc_id", "n_words", hit.alias("n_hit"),
+        "d.doc_id", "d.row_key", "n_words", hit.alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         (hit > 0).alias("contaminated"))
 
