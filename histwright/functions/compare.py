@@ -45,9 +45,5 @@ def change_predicate_text(df: DataFrame, exclude=(), left: str = "stg",
     names = [(c,) for c in df.columns if c not in set(exclude)]
     cols = spark.createDataFrame(names, "column_name string")
     c = F.col("column_name")
-    l_ = F.concat(F.lit(f"{left}."), c)
-    r_ = F.concat(F.lit(f"{right}."), c)
-    text = F.concat(F.lit("("), l_, F.lit(" <> "), r_,
-                    F.lit(" or ( "), l_, F.lit(" is null and "), r_, F.lit(" is not null )"),
-                    F.lit(" or ( "), l_, F.lit(" is not null and "), r_, F.lit(" is null ))"))
+    text = F.concat(F.lit(f"{left}."), c, F.lit(f" IS DISTINCT FROM {right}."), c)
     return cols.select(text.alias("predicate"))

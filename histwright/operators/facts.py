@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 
 def append_all(fact: DataFrame, stg: DataFrame) -> DataFrame:
-    """Fact after appending every staged row (no duplicate check), by column position."""
-    return fact.union(stg.select(*stg.columns[: len(fact.columns)]).toDF(*fact.columns))
+    """Fact after appending every staged row (no duplicate check), by column position.
+
+    A staging frame of another width is an error, as it is for an insert by position.
+    """
+    if len(stg.columns) != len(fact.columns):
+        raise ValueError(f"{len(stg.columns)} staged columns do not fit {len(fact.columns)}: "
+                         f"{stg.columns} into {fact.columns}")
+    return fact.union(stg.toDF(*fact.columns))
 
 
 def new_rows(fact: DataFrame, stg: DataFrame, key: str, dedupe_batch: bool = False,

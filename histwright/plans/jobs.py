@@ -20,7 +20,7 @@ from ..operators import dims_type2 as d2
 from ..operators import facts, meta, reports
 from ..schemas import DIMS, TABLES, META
 from ..sources import staging
-from .publish import Run, State, current
+from .publish import PartlyLoadedError, Run, State, current, start
 
 
 @dataclass
@@ -60,6 +60,48 @@ def stage_day(day: DayInputs, run_ts) -> dict[str, DataFrame]:
     }
 
 
+def begin(spark: SparkSession, root: str, run_ts: str, files, skip_loaded_files: bool) -> Run | State:
+    """The run to fill, or the published state when all its drop files (or, without any, the
+    run itself) are loaded already. Raises ``PartlyLoadedError`` when only some are, and
+    ``LateRunError`` for a run that is not after the published one."""
+    rid = run_id_of(run_ts)
+    now = current(spark, root)
+    if skip_loaded_files:
+        known = now.loaded(files)
+        if files and known == set(files) or not files and rid == now.run_id:
+            return now
+        if known:
+            raise PartlyLoadedError(f"already loaded: {sorted(known)}; not loaded: "
+                                    f"{sorted(set(files) - known)}")
+    state = start(spark, root, rid, redo=not skip_loaded_files)
+    known = state.loaded(files) if not skip_loaded_files else set()
+    return Run(state, rid, run_ts, set(files) - known)
+
+
+def store_staging(run: Run, staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write every staging frame once, to this attempt's own folder, and read it from there.
+
+    Guard, watermark, new ids, their bounds and the dimensions then all see the same rows,
+    whatever the sources do meanwhile, and each source is read once.
+    """
+    def write(name: str, df: DataFrame) -> None:
+        df.write.parquet(run.path(f"staging_{name}"))
+
+    _run_all([lambda n=n, df=df: write(n, df) for n, df in staged.items()])
+    return {n: run.spark.read.schema(df.schema).parquet(run.path(f"staging_{n}"))
+            for n, df in staged.items()}
+
+
+def keyed(run: Run, stg: dict[str, DataFrame], writes: list) -> dict[str, DataFrame]:
+    """Each dimension's staged rows with a key, once each; writes of the rows without one join ``writes``."""
+    out = {}
+    for name, spec in DIMS.items():
+        good, bad = d2.split_null_keys(stg[name].select(*spec.columns, "update_dt"), spec)
+        out[name] = d2.unique_keys(good, spec)
+        writes.append(lambda t=f"quarantine_{name}", df=bad: run.append(t, df))
+    return out
+
+
 def _meta(state: State, run: Run, stg: DataFrame) -> None:
     m = state.read("meta") if state.segments("meta") else meta.seed(state.spark)
     run.replace("meta", meta.update_watermark(m, stg, "stg_terminals").select(*META.fieldNames()))
@@ -83,26 +125,25 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
     Order as in the original job: staging and watermark, the four dimensions
     (single pass each), blacklist and new transactions, then both reports over
     the new state. With ``max_delete_fraction`` a snapshot that would delete a
-    larger share of a dimension's live keys stops the run before any write.
+    larger share of a dimension's live keys stops the run before any write but
+    staging. Staged rows without a key go to the dimension's quarantine table.
     """
     run_ts = stamp_text(run_ts)
-    rid = run_id_of(run_ts)
-    state = current(spark, root, before=rid)
-    if skip_loaded_files and day.files and set(day.files) <= state.files:
-        return state
-    run = Run(state, rid, run_ts, day.files)
-    stg = stage_day(day, run_ts)
+    run = begin(spark, root, run_ts, day.files, skip_loaded_files)
+    if isinstance(run, State):
+        return run
+    state = run.state
+    stg = store_staging(run, stage_day(day, run_ts))
     if max_delete_fraction is not None:
         for name, spec in DIMS.items():
             d2.deletion_guard(state.read(f"dim_{name}_hist"), stg[name], spec,
                               max_delete_fraction)
     writes = [lambda: _meta(state, run, stg["terminals"])]
+    snapshots = keyed(run, stg, writes)
     for name, spec in DIMS.items():
         hist = state.read(f"dim_{name}_hist")
         dim_ts = day.terminals_ts if name == "terminals" and day.terminals_ts else run_ts
-        s = d2.unique_keys(d2.split_null_keys(stg[name].select(*spec.columns, "update_dt"),
-                                              spec)[0], spec)
-        delta = d2.snapshot_delta(hist.where(d2.is_open()), s, spec, dim_ts, compat)
+        delta = d2.snapshot_delta(hist.where(d2.is_open()), snapshots[name], spec, dim_ts, compat)
         writes.append(lambda t=f"dim_{name}_hist", df=delta: run.history(t, df))
     fact_tx = state.read("fact_transactions")
     writes.append(lambda: run.append("fact_passport_blacklist", stg["blacklist"]))
@@ -132,15 +173,15 @@ def run_type1_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
                   skip_loaded_files: bool = True) -> State:
     """One day of the insert-only job: new keys, all facts, source-based reports."""
     run_ts = stamp_text(run_ts)
-    rid = run_id_of(run_ts)
-    state = current(spark, root, before=rid)
-    if skip_loaded_files and day.files and set(day.files) <= state.files:
-        return state
-    run = Run(state, rid, run_ts, day.files)
-    stg = stage_day(day, run_ts)
+    run = begin(spark, root, run_ts, day.files, skip_loaded_files)
+    if isinstance(run, State):
+        return run
+    state = run.state
+    stg = store_staging(run, stage_day(day, run_ts))
     writes = [lambda: _meta(state, run, stg["terminals"])]
+    snapshots = keyed(run, stg, writes)
     for name, spec in DIMS.items():
-        rows = d1.new_rows(state.read(f"dim_{name}"), stg[name], spec)
+        rows = d1.new_rows(state.read(f"dim_{name}"), snapshots[name], spec)
         writes.append(lambda t=f"dim_{name}", df=rows: run.append(t, df))
     writes.append(lambda: run.append("fact_passport_blacklist", stg["blacklist"]))
     writes.append(lambda: run.append("fact_transactions_type1",

@@ -2,40 +2,55 @@
 
 Layout under a warehouse ``root`` (any Hadoop-compatible shared path)::
 
-    root/tables/<table>/run=<run_id>/...      data written by run <run_id>
-    root/_manifests/run=<run_id>/part-*.json  one row: the run's table map
+    root/tables/<table>/run=<run_id>/attempt=<uuid>/...   data written by one attempt of a run
+    root/_manifests/m-<seq>/part-*.json                   one row: the table map after a run
 
 A table's current state is the union of the segment folders listed in the
-latest manifest. Append-only tables (facts, reports, type-1 dimensions) add
-one segment per run; a history dimension adds a ``closed`` segment (versions
+manifest of greatest sequence number. Append-only tables (facts, reports, type-1 dimensions)
+add one segment per run; a history dimension adds a ``closed`` segment (versions
 closed by the run, never rewritten again) and replaces its ``open`` segment,
 so a run rewrites only current versions, not the whole history. Small tables
 (meta) are rewritten whole.
 
-Data folders are written first and the manifest last, through Spark's file
-commit protocol: readers never see a half-published run, a failed run leaves
-only unreferenced folders, and re-running a run id overwrites its own folders.
-The manifest also lists the drop files the run loaded (a ledger that prevents
-reloading a drop after a crash between commit and archiving).
+Every attempt writes to folders of its own, so nothing that a manifest lists is
+ever overwritten: a failed run or re-run leaves only unreferenced folders. The
+manifest is written last, through Spark's file commit protocol, to a folder that must not exist
+yet: readers never see a half-published run, and of two runs that start from the
+same state only one can publish. A manifest folder without its ``_SUCCESS`` mark
+is an unfinished publish and counts as not there; any other read error is raised.
+
+Runs must come in the order of their run times: a run earlier than the published
+one is refused (``LateRunError``), as its snapshots would rewrite later history.
+The drop files of all runs are a table of their own (``loaded_files``).
 """
 
 from __future__ import annotations
 
 import threading
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import TABLES, empty
+from ..schemas import LEDGER, TABLES, empty
 
 MANIFEST_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType()),
     T.StructField("run_id", T.StringType()),
     T.StructField("run_ts", T.StringType()),
     T.StructField("tables", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
-    T.StructField("files", T.ArrayType(T.StringType())),
 ])
+LOADED = "loaded_files"
+
+
+class LateRunError(ValueError):
+    """A run earlier than the published state, or one that is published already."""
+
+
+class PartlyLoadedError(ValueError):
+    """Some, but not all, of a run's drop files are loaded."""
 
 
 @dataclass
@@ -46,7 +61,7 @@ class State:
     root: str
     run_id: str | None = None
     tables: dict[str, list[str]] = field(default_factory=dict)
-    files: set[str] = field(default_factory=set)
+    seq: int = 0
     # Segments written by a run in progress; committed manifests list only
     # segments that hold data, so only these need an existence check.
     pending: set[str] = field(default_factory=set)
@@ -56,34 +71,78 @@ class State:
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Current rows of ``table`` (empty with its schema when never written)."""
-        schema = schema or TABLES[table]
+        schema = schema or (LEDGER if table == LOADED else TABLES[table])
         paths = [p for p in self.segments(table)
-                 if p not in self.pending or _exists(self.spark, p)]
+                 if p not in self.pending or has_data(self.spark, p)]
         if not paths:
             return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def loaded(self, files) -> set[str]:
+        """Which of ``files`` are loaded (at most ``files`` rows reach the driver)."""
+        names = sorted(set(files))
+        if not names or not self.segments(LOADED):
+            return set()
+        got = self.read(LOADED).where(F.col("file").isin(names)).select("file").distinct()
+        return {r.file for r in got.collect()}
 
-def table_path(root: str, table: str, run_id: str) -> str:
-    return f"{root}/tables/{table}/run={run_id}"
+
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of a folder; its errors are raised, not read as "not there"."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none when the folder does not exist."""
+    fs, p = _files(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a segment folder holds data (a partition with no rows is not written)."""
+    return any(n.endswith(".parquet") for n in _names(spark, path))
+
+
+def _sequence(spark: SparkSession, root: str) -> list[int]:
+    """Sequence numbers of all manifest folders, finished or not, latest first."""
+    return sorted((int(n[2:]) for n in _names(spark, f"{root}/_manifests") if n.startswith("m-")),
+                  reverse=True)
+
+
+def _manifest_path(root: str, seq: int) -> str:
+    return f"{root}/_manifests/m-{seq:09d}"
 
 
 def current(spark: SparkSession, root: str, before: str | None = None) -> State:
-    """Latest published state (optionally the latest strictly before run ``before``)."""
-    man = f"{root}/_manifests"
-    try:
-        m = spark.read.schema(MANIFEST_SCHEMA).json(man)
-    except Exception:  # noqa: BLE001 - no manifest folder yet: empty warehouse
-        return State(spark, root)
-    if before is not None:
-        m = m.where(F.col("run_id") < F.lit(before))
-    latest = m.orderBy(F.col("run_id").desc()).limit(1).collect()
-    if not latest:
-        return State(spark, root)
-    r = latest[0]
-    ledger = m.select(F.explode_outer("files").alias("f")).where(F.col("f").isNotNull())
-    files = {x.f for x in ledger.distinct().collect()}
-    return State(spark, root, r.run_id, {k: list(v) for k, v in (r.tables or {}).items()}, files)
+    """Latest published state (optionally the latest of a run strictly before ``before``)."""
+    fs, top = _files(spark, root)
+    if fs.exists(top) and not fs.getFileStatus(top).isDirectory():
+        raise ValueError(f"warehouse root {root} is not a folder")
+    for seq in _sequence(spark, root):
+        path = _manifest_path(root, seq)
+        if "_SUCCESS" not in _names(spark, path):
+            continue
+        rows = spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(path).collect()
+        if len(rows) != 1 or rows[0].run_id is None or rows[0].tables is None:
+            raise ValueError(f"manifest {path} is damaged: {len(rows)} usable rows")
+        r = rows[0]
+        if before is None or r.run_id < before:
+            return State(spark, root, r.run_id, {k: list(v) for k, v in r.tables.items()}, seq)
+    return State(spark, root)
+
+
+def start(spark: SparkSession, root: str, run_id: str, redo: bool = False) -> State:
+    """The state that run ``run_id`` builds on; ``LateRunError`` when it must not run any more.
+
+    ``redo`` repeats the latest published run on the state before it.
+    """
+    state = current(spark, root)
+    if state.run_id is None or run_id > state.run_id:
+        return state
+    if run_id == state.run_id and redo:
+        return current(spark, root, before=run_id)
+    raise LateRunError(f"run {run_id} is not after the published run {state.run_id}")
 
 
 class Run:
@@ -95,15 +154,21 @@ class Run:
         self.root = state.root
         self.run_id = run_id
         self.run_ts = run_ts
+        self.attempt = uuid.uuid4().hex
         self.files = sorted(set(files))
         self.tables = {k: list(v) for k, v in state.tables.items()}
         self.written: set[str] = set()
+        self._after = max(_sequence(self.spark, self.root), default=0)
         self._lock = threading.Lock()  # segments may be written from several threads
 
+    def path(self, table: str) -> str:
+        """This attempt's own folder of ``table``."""
+        return f"{self.root}/tables/{table}/run={self.run_id}/attempt={self.attempt}"
+
     def append(self, table: str, df: DataFrame) -> str:
         """Add ``df`` as this run's segment of an append-only table."""
-        path = table_path(self.root, table, self.run_id)
-        df.write.mode("overwrite").parquet(path)
+        path = self.path(table)
+        df.write.parquet(path)
         with self._lock:
             self.tables[table] = [p for p in self.tables.get(table, []) if p != path] + [path]
             self.written.add(path)
@@ -111,8 +176,8 @@ class Run:
 
     def replace(self, table: str, df: DataFrame) -> str:
         """Rewrite a small table whole."""
-        path = table_path(self.root, table, self.run_id)
-        df.write.mode("overwrite").parquet(path)
+        path = self.path(table)
+        df.write.parquet(path)
         with self._lock:
             self.tables[table] = [path]
             self.written.add(path)
@@ -124,10 +189,10 @@ class Run:
 
         One job: the output is partitioned by ``segment`` on write.
         """
-        path = table_path(self.root, table, self.run_id)
+        path = self.path(table)
         seg = F.when(F.col("effective_to") == F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"),
                      F.lit("open")).otherwise(F.lit("closed"))
-        delta.withColumn("segment", seg).write.mode("overwrite").partitionBy("segment").parquet(path)
+        delta.withColumn("segment", seg).write.partitionBy("segment").parquet(path)
         closed, opened = f"{path}/segment=closed", f"{path}/segment=open"
         with self._lock:
             old = [p for p in self.tables.get(table, [])
@@ -146,12 +211,12 @@ class Run:
         merge = [p for p in segs if p not in opened]
         if len(merge) < 2:
             return None
-        path = f"{table_path(self.root, table, self.run_id)}/compacted"
+        path = f"{self.path(table)}/compacted"
         df = State(self.spark, self.root, self.run_id, {table: merge},
                    pending=self.written).read(table)
         if transform is not None:  # e.g. re-merge kept statistics
             df = transform(df)
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(path)
         with self._lock:
             self.tables[table] = [path] + opened
             self.written.add(path)
@@ -171,29 +236,24 @@ class Run:
                      pending=self.written).read(table)
 
     def commit(self) -> State:
-        """Publish the run: one manifest row, written last."""
+        """Publish the run: the ledger of its files, then one manifest row."""
+        if self.files:
+            self.append(LOADED, self.spark.createDataFrame(
+                [(self.run_id, f) for f in self.files], LEDGER).coalesce(1))
         # Segments of this run that hold no data (no rows in a partition) are left out.
-        tables = {k: [p for p in v if p not in self.written or _exists(self.spark, p)]
+        tables = {k: [p for p in v if p not in self.written or has_data(self.spark, p)]
                   for k, v in self.tables.items()}
-        row = [(self.run_id, self.run_ts, tables, self.files)]
-        (self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite")
-         .json(f"{self.root}/_manifests/run={self.run_id}"))
-        return State(self.spark, self.root, self.run_id, tables, set(self.state.files) | set(self.files))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a segment folder holds data (a partition with no rows is not written)."""
-    try:
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).limit(1)
-        return True
-    except Exception:  # noqa: BLE001 - missing folder
-        return False
+        seq = self._after + 1
+        row = [(seq, self.run_id, self.run_ts, tables)]
+        (self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists")
+         .json(_manifest_path(self.root, seq)))
+        return State(self.spark, self.root, self.run_id, tables, seq)
 
 
 def create_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
                   tables=tuple(TABLES)) -> State:
     """Publish a run that declares ``tables`` empty (the warehouse bootstrap)."""
-    run = Run(current(spark, root, before=run_id), run_id, run_ts)
+    run = Run(start(spark, root, run_id), run_id, run_ts)
     for t in tables:
         run.create(t)
     return run.commit()
@@ -202,7 +262,7 @@ def create_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
 def drop_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
                 tables=tuple(TABLES)) -> State:
     """Publish a run without ``tables`` (the warehouse reset)."""
-    run = Run(current(spark, root, before=run_id), run_id, run_ts)
+    run = Run(start(spark, root, run_id), run_id, run_ts)
     for t in tables:
         run.drop(t)
     return run.commit()
@@ -214,7 +274,7 @@ def compact_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
     from ..operators.reports import merge_statistics
 
     merges = {"fact_card_day_stats": merge_statistics}
-    run = Run(current(spark, root, before=run_id), run_id, run_ts)
+    run = Run(start(spark, root, run_id), run_id, run_ts)
     for t in tables or list(run.tables):
         if t in TABLES:
             run.compact(t, transform=merges.get(t))

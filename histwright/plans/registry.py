@@ -65,7 +65,7 @@ def q_stage_transactions_typed(spark, sf):
         "trans_id", "trans_date", "card_num", "oper_type", "amt",
         staging.amount_decimal("amt").alias("amount"),
         F.to_date("trans_date").alias("trans_day"),
-        F.col("trans_id").cast("int").alias("transactions_id"), "oper_result", "terminal"))
+        F.col("trans_id").cast("long").alias("transactions_id"), "oper_result", "terminal"))
 
 
 def q_stage_snapshot_stamped(spark, sf):

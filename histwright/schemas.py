@@ -73,6 +73,11 @@ class DimSpec:
         return _struct((self.key, S), *zip(self.attrs, self.types),
                        ("create_dt", TS), ("update_dt", TS))
 
+    @property
+    def quarantine_schema(self) -> T.StructType:
+        """Staged rows whose key is NULL: all attributes and the load stamp."""
+        return self.snapshot_schema
+
     @property
     def history_columns(self) -> list[str]:
         return [*self.columns, "effective_from", "effective_to", "deleted_flg"]
@@ -104,7 +109,7 @@ BLACKLIST_FILE_ORDER = ("entry_dt", "passport_num")
 
 TRANSACTIONS = _struct(("trans_id", T.LongType()), ("trans_date", TS), ("card_num", S),
                        ("oper_type", S), ("amt", S), ("oper_result", S), ("terminal", S))
-TRANSACTIONS_TYPE1 = _struct(("transactions_id", T.IntegerType()), ("transactions_date", D),
+TRANSACTIONS_TYPE1 = _struct(("transactions_id", T.LongType()), ("transactions_date", D),
                              ("card_num", S), ("oper_type", S),
                              ("amount", T.DecimalType(12, 2)), ("oper_result", S),
                              ("terminal", S))
@@ -116,6 +121,8 @@ META = _struct(("schema_name", S), ("table_name", S), ("max_update_dt", TS))
 CARD_DAY_STATS = _struct(("card_num", S), ("event_dt", D), ("max_ts", TS), ("max_late_ts", TS),
                          ("has_midnight", T.BooleanType()))
 
+LEDGER = _struct(("run_id", S), ("file", S))
+
 TABLES: dict[str, T.StructType] = {
     "fact_transactions": TRANSACTIONS,
     "fact_transactions_type1": TRANSACTIONS_TYPE1,
@@ -126,6 +133,8 @@ TABLES: dict[str, T.StructType] = {
     "fact_card_day_stats": CARD_DAY_STATS,
     **{f"dim_{d.name}_hist": d.history_schema for d in DIMS.values()},
     **{f"dim_{d.name}": d.type1_schema for d in DIMS.values()},
+    # Staged rows without a key, which no dimension can hold.
+    **{f"quarantine_{d.name}": d.quarantine_schema for d in DIMS.values()},
 }
 
 

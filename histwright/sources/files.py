@@ -48,7 +48,10 @@ def read_workbook_sheet(spark: SparkSession, path, sheet: str, columns,
         for pdf in batches:
             for content, name in zip(pdf["content"], pdf["path"]):
                 sheet_df = decode(bytes(content), sheet)
-                out = sheet_df.iloc[:, : len(names)].astype(object)
+                if sheet_df.shape[1] != len(names):
+                    raise ValueError(f"{name}: sheet {sheet} has {sheet_df.shape[1]} columns, "
+                                     f"expected {len(names)}")
+                out = sheet_df.astype(object)
                 out.columns = names
                 out = out.where(out.notna(), None).map(lambda v: None if v is None else str(v))
                 out["_file"] = name
@@ -59,7 +62,7 @@ def read_workbook_sheet(spark: SparkSession, path, sheet: str, columns,
         parse, schema)
     if with_file_date:
         df = df.withColumn("file_date", file_date(F.col("_file")))
-    return df.drop("_file") if not with_file_date else df.drop("_file")
+    return df.drop("_file")
 
 
 def _read_excel(content: bytes, sheet: str) -> pd.DataFrame:

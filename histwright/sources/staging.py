@@ -36,10 +36,10 @@ def stage_transactions(raw: DataFrame) -> DataFrame:
 
 
 def type1_transactions(staged: DataFrame) -> DataFrame:
-    """Type-1 layout: integer id, date only, decimal amount."""
+    """Type-1 layout: id (widened to long, as the ids outgrow int), date only, decimal amount."""
     s = staged
     return s.select(
-        F.col("trans_id").cast("int").alias("transactions_id"),
+        F.col("trans_id").cast("long").alias("transactions_id"),
         F.to_date(F.col("trans_date").cast(TS)).alias("transactions_date"),
         F.col("card_num").cast("string"), F.col("oper_type").cast("string"),
         amount_decimal("amt").alias("amount"), F.col("oper_result").cast("string"),

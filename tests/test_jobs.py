@@ -166,3 +166,122 @@ def test_failed_write_publishes_nothing(spark):
     now = publish.current(spark, root)
     assert now.run_id == s1.run_id
     assert rows(now.read("dim_cards_hist")) == rows(s1.read("dim_cards_hist"))
+
+
+def _files(root, table):
+    import glob
+    return sorted(glob.glob(f"{root}/tables/{table}/**/*.parquet", recursive=True))
+
+
+def test_late_day_is_refused(spark):
+    import pytest
+    root = scratch_dir("wh-")
+    s2 = jobs.run_type2_day(spark, root, day_inputs(spark, 2), fx.DAY_STAMPS[2])
+    with pytest.raises(publish.LateRunError):
+        jobs.run_type2_day(spark, root, day_inputs(spark, 1), fx.DAY_STAMPS[1])
+    now = publish.current(spark, root)
+    assert now.run_id == s2.run_id and now.tables == s2.tables
+    # Nothing of the refused day is in the ledger, so it is not taken for loaded later.
+    assert now.loaded(["transactions_01032021.txt"]) == set()
+
+
+def test_same_run_again_writes_nothing(spark):
+    root = scratch_dir("wh-")
+    d1 = day_inputs(spark, 1)
+    s1 = jobs.run_type2_day(spark, root, d1, fx.DAY_STAMPS[1])
+    before = {t: _files(root, t) for t in s1.tables}
+    s1b = jobs.run_type2_day(spark, root, d1, fx.DAY_STAMPS[1])
+    assert s1b.seq == s1.seq and {t: _files(root, t) for t in s1.tables} == before
+    # The same without file names: the run itself is known.
+    d1.files = []
+    assert jobs.run_type2_day(spark, root, d1, fx.DAY_STAMPS[1]).seq == s1.seq
+
+
+def test_failed_rerun_keeps_published_data(spark):
+    import pytest
+    root = scratch_dir("wh-")
+    s1 = jobs.run_type2_day(spark, root, day_inputs(spark, 1), fx.DAY_STAMPS[1])
+    cards = rows(s1.read("dim_cards_hist"))
+    bad = day_inputs(spark, 1)
+    bad.cards = bad.cards.unionByName(bad.cards.limit(1))
+    with pytest.raises(Exception, match="duplicate card_num"):
+        jobs.run_type2_day(spark, root, bad, fx.DAY_STAMPS[1], skip_loaded_files=False)
+    assert rows(publish.current(spark, root).read("dim_cards_hist")) == cards
+
+
+def test_overlapping_drops_are_an_error(spark):
+    import pytest
+    root = scratch_dir("wh-")
+    d1 = day_inputs(spark, 1)
+    d1.files = ["t1.txt", "b1.txt"]
+    s1 = jobs.run_type2_day(spark, root, d1, fx.DAY_STAMPS[1])
+    d2_in = day_inputs(spark, 2)
+    d2_in.files = ["t2.txt", "b1.txt"]
+    with pytest.raises(publish.PartlyLoadedError, match="b1.txt"):
+        jobs.run_type2_day(spark, root, d2_in, fx.DAY_STAMPS[2])
+    assert publish.current(spark, root).seq == s1.seq
+
+
+def test_unreadable_root_and_damaged_manifest_are_errors(spark):
+    import glob
+    import os
+    import pytest
+    root = scratch_dir("wh-")
+    st = publish.create_tables(spark, root, "20210228T000000", "2021-02-28 00:00:00")
+    # A manifest folder without its success mark is an unfinished publish: the state before counts.
+    os.makedirs(f"{root}/_manifests/m-{st.seq + 1:09d}")
+    assert publish.current(spark, root).seq == st.seq
+    nxt = publish.create_tables(spark, root, "20210228T010000", "2021-02-28 01:00:00")
+    assert nxt.seq == st.seq + 2
+    # A finished one that cannot be read is an error, not an empty warehouse.
+    part = glob.glob(f"{root}/_manifests/m-{nxt.seq:09d}/part-*.json")[0]
+    for f in (part, os.path.join(os.path.dirname(part), f".{os.path.basename(part)}.crc")):
+        os.remove(f)
+    with open(part, "w") as f:
+        f.write('{"seq": 3, "run_id"')
+    with pytest.raises(Exception):
+        publish.current(spark, root)
+    # A root that is no folder, or of an unknown file system, is an error too.
+    plain = f"{scratch_dir('wh-')}/file"
+    with open(plain, "w") as f:
+        f.write("x")
+    with pytest.raises(Exception):
+        publish.current(spark, plain)
+    with pytest.raises(Exception):
+        publish.current(spark, "nosuchfs://host/warehouse")
+
+
+def test_null_keys_go_to_quarantine(spark):
+    import pytest
+    for kind, table in (("type2", "dim_cards_hist"), ("type1", "dim_cards")):
+        root = scratch_dir("wh-")
+        day = day_inputs(spark, 1)
+        n = day.cards.count()
+        day.cards = day.cards.withColumn("card_num", F.when(F.col("card_num").cast("long") % 2 == 0, F.col("card_num")))
+        run = jobs.run_type2_day if kind == "type2" else jobs.run_type1_day
+        st = run(spark, root, day, fx.DAY_STAMPS[1])
+        kept, held = st.read(table).count(), st.read("quarantine_cards").count()
+        assert held > 0 and kept + held == n, kind
+        if kind == "type1":
+            bad = day_inputs(spark, 2)
+            bad.cards = bad.cards.unionByName(bad.cards.limit(1))
+            with pytest.raises(Exception, match="duplicate card_num"):
+                run(spark, root, bad, fx.DAY_STAMPS[2])
+
+
+def test_run_sees_one_version_of_its_sources(spark):
+    """A source that changes while the run reads it: everything comes from the stored staging."""
+    root = scratch_dir("wh-")
+    day = day_inputs(spark, 1)
+    st = jobs.run_type2_day(spark, root, day, fx.DAY_STAMPS[1])
+    assert len(_files(root, "staging_cards")) > 0
+    staged = spark.read.parquet(*sorted({f.rsplit("/", 1)[0] for f in _files(root, "staging_cards")}))
+    assert staged.count() == d2.live_rows(st.read("dim_cards_hist")).count()
+
+
+def test_surplus_columns_are_an_error(spark):
+    import pytest
+    from histwright.operators import facts
+    fact = spark.createDataFrame([], "a int, b int")
+    with pytest.raises(ValueError, match="do not fit"):
+        facts.append_all(fact, spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"))

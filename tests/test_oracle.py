@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from histwright.plans import oracle, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "customer", "part", "lineitem"]
@@ -38,10 +39,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     got = df.collect()

@@ -9,6 +9,7 @@ from conftest import rows
 from histwright.operators import reports
 from histwright.plans import registry as R
 from histwright.plans.oracle import DAY_STAMPS
+from histwright.plans.report_sql import report
 from histwright.session import scratch_dir
 from histwright.sources import fixtures as fx
 
@@ -48,16 +49,8 @@ def skewed(spark):
             spark.conf.set(k, v)
 
 
-LITERAL = """
-select distinct cast(trans_date as date) as event_dt, cli.passport_num as passport,
-  last_name || ' ' || first_name || ' ' || patronymic as fio, phone
-from trans tra
-left join cards car on tra.card_num = trim(car.card_num)
-left join accounts acc on car.account_num = acc.account_num
-left join clients cli on acc.client = cli.client_id
-{bl}
-where {cond}
-"""
+NAMES = dict(ops="trans", cards="cards", accounts="accounts", clients="clients", blacklist="blacklist",
+             prior="prior")
 
 
 def duck(d, sql):
@@ -77,23 +70,14 @@ def test_passport_events_legacy_under_skew(skewed):
     d, i = skewed
     out = reports.passport_events(i["trans"], i["cards"], i["accounts"], i["clients"],
                                   i["blacklist"], i["prior"], DAY_STAMPS[1], "legacy")
-    sql = LITERAL.format(
-        bl="left join blacklist pss on cli.passport_num = pss.passport_num",
-        cond="trans_date > passport_valid_to or entry_dt <= trans_date and not exists "
-             "(select 1 from prior fra where fra.passport = cli.passport_num "
-             "and tra.trans_date = fra.event_dt)")
-    assert spark_rows(out) == duck(d, sql)
+    assert spark_rows(out) == duck(d, report("1", "legacy", **NAMES))
 
 
 def test_contract_events_under_skew(skewed):
     d, i = skewed
     out = reports.contract_events(i["trans"], i["cards"], i["accounts"], i["clients"],
                                   i["prior"], DAY_STAMPS[1])
-    sql = LITERAL.format(
-        bl="", cond="trans_date > valid_to and not exists (select 1 from prior fra where "
-                    "fra.passport = cli.passport_num and cast(tra.trans_date as date) = fra.event_dt "
-                    "and fra.event_type = '2')")
-    expected = duck(d, sql)
+    expected = duck(d, report("2", "default", **NAMES))
     assert len(expected) > 0
     assert spark_rows(out) == expected
     # The hot account's partition was split by AQE's skew-join handling.

@@ -79,9 +79,7 @@ def test_change_predicate_text(spark):
     df = spark.createDataFrame([], CLIENTS.snapshot_schema)
     txt = [r.predicate for r in change_predicate_text(df).collect()]
     assert len(txt) == len(df.columns)
-    assert txt[1] == ("(stg.last_name <> tgt.last_name or ( stg.last_name is null and "
-                      "tgt.last_name is not null ) or ( stg.last_name is not null and "
-                      "tgt.last_name is null ))")
+    assert txt[1] == "stg.last_name IS DISTINCT FROM tgt.last_name"
 
 
 def test_blacklist_workbook_dates(spark):
