@@ -67,14 +67,17 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: f
             .select(F.col("doc_id").alias("drop_id"), F.col("row_key").alias("drop_key"), "drop"))
     added = ("n_lines", "n_removed", "left_whole")
     kept = [c for c in docs.columns if c not in added]
-    text = F.coalesce("text", F.lit(""))
+    # The row travels as one struct, so its columns can have any names.
+    own = docs.select(F.struct(*kept).alias("r"))
+    text = F.coalesce("r.text", F.lit(""))
+    own = own.select("r", F.xxhash64(text).alias("key"), _lines(text).alias("all_lines"))
+    same = F.col("r.doc_id").eqNullSafe(F.col("drop_id")) & (F.col("key") == F.col("drop_key"))
     lost = F.aggregate("drop", F.lit(0), lambda a, p: a + F.length(F.get(F.col("all_lines"), p)))
-    whole = F.coalesce(lost > F.length("text") * max_share, F.lit(False))
+    whole = F.coalesce(lost > F.length(text) * max_share, F.lit(False))
     removed = F.when(F.col("left_whole") | F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop"))
     rest = F.array_join(F.filter("all_lines", lambda _, i: ~F.array_contains("drop", i)), "\n")
-    joined = docs.select(*kept, F.xxhash64(text).alias("drop_key_"), _lines(text).alias("all_lines")).join(
-        drop, (F.col("doc_id").eqNullSafe(F.col("drop_id"))) & (F.col("drop_key_") == F.col("drop_key")), "left")
-    return (joined.withColumn("left_whole", whole).withColumn("n_removed", removed.cast("long"))
-            .withColumn("n_lines", F.size("all_lines").cast("long"))
-            .withColumn("text", F.when(F.col("n_removed") > 0, rest).otherwise(F.col("text")))
-            .select(*kept, *added))
+    done = (own.join(drop, same, "left").withColumn("left_whole", whole)
+            .withColumn("n_removed", removed.cast("long")))
+    cleaned = F.when(F.col("n_removed") > 0, rest).otherwise(F.col("r.text"))
+    return done.select(*[cleaned.alias(c) if c == "text" else F.col(f"r.{c}").alias(c) for c in kept],
+                       F.size("all_lines").cast("long").alias("n_lines"), "n_removed", "left_whole")
