@@ -15,9 +15,12 @@ FILE_DATE_FORMAT = "ddMMyyyy"
 
 
 def stamp_text(value) -> str:
-    """Run clock as text at second resolution (a ``timestamp(0)`` rounds half up)."""
+    """Run clock as text at second resolution (a ``timestamp(0)`` rounds half up); a clock
+    with a zone is converted to UTC, the warehouse's zone."""
     if isinstance(value, str):
         value = _dt.datetime.fromisoformat(value)
+    if isinstance(value, _dt.datetime) and value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc)
     if isinstance(value, _dt.date) and not isinstance(value, _dt.datetime):
         value = _dt.datetime(value.year, value.month, value.day)
     if value.microsecond >= 500_000:

@@ -101,31 +101,38 @@ def _fio(last: str = "last_name", first: str = "first_name", middle: str = "patr
 
 
 def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                  blacklist: DataFrame | None = None) -> DataFrame:
-    """Per trimmed card number, every combination of card, account and client versions
-    with what the reports test: contract end, passport, name, phone, passport end and
-    (with ``blacklist``) the first blacklist entry of the passport.
-
-    Dimension-sized: the fact is joined to it once. Accounts are required (both
-    reports need one); clients and blacklist entries are optional. The
-    account-level part (account -> client -> first blacklist entry) is joined
-    first, on the account-sized side; the card side meets it once, so the
-    largest dimension is shuffled once here (or not at all when AQE measures
-    the account profile small enough to broadcast).
+                  blacklist: DataFrame | None = None, need_client: bool = False) -> DataFrame:
+    """Per trimmed card number and person (passport, name, phone) what the reports test: the
+    earliest contract end, passport end and (with ``blacklist``) blacklist entry over all
+    versions of card, account and client.
+
+    Every test of the reports is "later than (or at) the bound", so of several versions
+    the earliest bound decides, and the versions collapse before the fact is joined.
+    The account-level part (account -> client -> first blacklist entry) is joined
+    and collapsed first, on the account-sized side; the card side meets it once. The joins above
+    read plain shuffles, so adaptive execution can still split a hot account or card.
+    Accounts are required; clients too with ``need_client``, else a card without one keeps a
+    NULL person.
     """
+    bounds = ["_vt", "_ct"] + (["_entry"] if blacklist is not None else [])
+    person = ["passport", "fio", "phone"]
+
+    def collapse(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(key, *person).agg(*[F.min(b).alias(b) for b in bounds])
+
     c = cards.select(F.trim("card_num").alias("card_num"), "account_num").where(
         F.col("account_num").isNotNull())
     a = accounts.select("account_num", "client", F.col("valid_to").cast(TS).alias("_ct"))
     cl = clients.select(F.col("client_id").alias("client"),
                         F.col("passport_num").alias("passport"), _fio().alias("fio"), "phone",
                         F.col("passport_valid_to").cast(TS).alias("_vt"))
-    acc = a.join(cl, "client", "left")
+    acc = a.join(cl, "client", "inner" if need_client else "left")
     if blacklist is not None:
         first_entry = (blacklist.where(F.col("passport_num").isNotNull())
                        .groupBy(F.col("passport_num").alias("passport"))
                        .agg(F.min(F.col("entry_dt").cast(TS)).alias("_entry")))
         acc = acc.join(first_entry, "passport", "left")
-    return c.join(acc, "account_num")
+    return collapse(c.join(collapse(acc, "account_num"), "account_num"), "card_num")
 
 
 def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str) -> DataFrame:
@@ -207,7 +214,7 @@ def passport_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
     (kept (card, day) statistics, see ``day_statistics``) replaces ``trans``.
     """
     _check(compat)
-    prof = card_profiles(cards, accounts, clients, blacklist).where(
+    prof = card_profiles(cards, accounts, clients, blacklist, need_client=True).where(
         F.col("_vt").isNotNull() | F.col("_entry").isNotNull())
     cand = passport_candidates(_stats(trans, prof, compat, stats), compat)
     return _finish(cand, prior, EVENT_PASSPORT, run_ts, compat)

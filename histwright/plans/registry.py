@@ -41,6 +41,13 @@ def staged(spark: SparkSession, sf: str, dim: str, day: int) -> DataFrame:
     return staging.stamp(fx.snapshot(spark, sf, dim, day), _stamps(dim)[day])
 
 
+def whole(spark: SparkSession, sf: str, dim: str) -> DataFrame:
+    """History after one snapshot of the whole table."""
+    spec, ts = DIMS[dim], _stamps(dim)[1]
+    stg = staging.stamp(fx.snapshot(spark, sf, dim, 0), ts)
+    return d2.apply_snapshot(empty(spark, spec.history_schema), stg, spec, ts)
+
+
 def history(spark: SparkSession, sf: str, dim: str, days: int,
             compat: str = d2.DEFAULT) -> DataFrame:
     """History of ``dim`` after ``days`` daily snapshots, single pass per day."""
@@ -69,7 +76,7 @@ def q_stage_transactions_typed(spark, sf):
 
 
 def q_stage_snapshot_stamped(spark, sf):
-    return _text_times(staged(spark, sf, "clients", 1))
+    return _text_times(staging.stamp(fx.clients(spark, sf, 0), fx.DAY_STAMPS[1]))
 
 
 def q_stage_blacklist_dates(spark, sf):
@@ -79,8 +86,8 @@ def q_stage_blacklist_dates(spark, sf):
 
 def q_changed_any_column(spark, sf):
     spec = DIMS["clients"]
-    s = fx.clients(spark, sf, 2).alias("s")
-    t = fx.clients(spark, sf, 1).alias("t")
+    s = fx.view(spark, sf, "clients_d0_next").alias("s")
+    t = fx.clients(spark, sf, 0).alias("t")
     return (s.join(t, F.col("s.client_id") == F.col("t.client_id"))
             .where(row_changed(spec.attrs, "s", "t")).select("s.client_id"))
 
@@ -103,25 +110,29 @@ def _day2(spark, sf, dim):
     return history(spark, sf, dim, 1), staged(spark, sf, dim, 2), DIMS[dim]
 
 
-def q_hist_insert_new_cards(spark, sf):
-    h, s, spec = _day2(spark, sf, "cards")
-    return _text_times(d2.insert_versions(h, s, spec))
+def _insert_new(dim: str) -> Query:
+    def q(spark, sf):
+        h, s, spec = _day2(spark, sf, dim)
+        return _text_times(d2.insert_versions(h, s, spec))
+    return q
 
 
 def _after_insert(h, s, spec):
     return h.unionByName(d2.insert_versions(h, s, spec))
 
 
-def q_hist_close_changed_cards(spark, sf):
-    h, s, spec = _day2(spark, sf, "cards")
-    closed = d2.close_changed(_after_insert(h, s, spec), s, spec)
-    return _text_times(closed.where(d2.is_closed()))
+def _close_changed(dim: str) -> Query:
+    def q(spark, sf):
+        h, s, spec = _day2(spark, sf, dim)
+        return _text_times(d2.close_changed(_after_insert(h, s, spec), s, spec).where(d2.is_closed()))
+    return q
 
 
-def q_hist_open_changed_cards(spark, sf):
-    h, s, spec = _day2(spark, sf, "cards")
-    closed = d2.close_changed(_after_insert(h, s, spec), s, spec)
-    return _text_times(d2.open_changed(closed, s, spec))
+def _open_changed(dim: str) -> Query:
+    def q(spark, sf):
+        h, s, spec = _day2(spark, sf, dim)
+        return _text_times(d2.open_changed(d2.close_changed(_after_insert(h, s, spec), s, spec), s, spec))
+    return q
 
 
 def _deleted_rows(dim: str, compat: str) -> Query:
@@ -168,40 +179,58 @@ def q_fact_append_new_transactions(spark, sf):
 
 
 def q_meta_watermark(spark, sf):
-    m = meta.update_watermark(meta.seed(spark), staged(spark, sf, "terminals", 2), "stg_terminals")
+    stg = staging.stamp(fx.terminals(spark, sf, 0), fx.FILE_DAY_STAMPS[2])
+    m = meta.update_watermark(meta.seed(spark), stg, "stg_terminals")
     return _text_times(m)
 
 
 # --- reports -----------------------------------------------------------------------------------
 
 def q_report_expired_passports(spark, sf):
-    return _text_times(reports.expired_passports(fx.clients(spark, sf, 1), TYPE1_REPORT_TS))
+    return _text_times(reports.expired_passports(fx.clients(spark, sf, 0), TYPE1_REPORT_TS))
 
 
 def q_report_expired_contracts(spark, sf):
-    return _text_times(reports.expired_contracts(fx.accounts(spark, sf, 1), TYPE1_REPORT_TS))
+    return _text_times(reports.expired_contracts(fx.accounts(spark, sf, 0), TYPE1_REPORT_TS))
+
 
+#: Days of the histories that the multi-day reports read: several versions and tombstones for a key.
+REPORT_DAYS = {"cards": 3, "accounts": 2, "clients": 2}
 
-def report_inputs(spark: SparkSession, sf: str) -> dict:
-    """Day-1 histories, all transactions, the blacklist and earlier report rows."""
-    return dict(trans=fx.transactions(spark, sf), cards=history(spark, sf, "cards", 1),
-                accounts=history(spark, sf, "accounts", 1),
-                clients=history(spark, sf, "clients", 1), blacklist=fx.blacklist(spark, sf),
+
+def report_inputs(spark: SparkSession, sf: str, multi_day: bool = False) -> dict:
+    """Histories (of one whole snapshot, or of several days), all transactions, the blacklist
+    and earlier report rows."""
+    hist = {dim: history(spark, sf, dim, days) if multi_day else whole(spark, sf, dim)
+            for dim, days in REPORT_DAYS.items()}
+    return dict(trans=fx.transactions(spark, sf), **hist, blacklist=fx.blacklist(spark, sf),
                 prior=fx.prior_report(spark, sf))
 
 
-def passport_report(spark: SparkSession, sf: str, compat: str = reports.DEFAULT) -> DataFrame:
-    i = report_inputs(spark, sf)
+def passport_report(spark: SparkSession, sf: str, compat: str = reports.DEFAULT,
+                    multi_day: bool = False) -> DataFrame:
+    i = report_inputs(spark, sf, multi_day)
     return reports.passport_events(i["trans"], i["cards"], i["accounts"], i["clients"],
                                    i["blacklist"], i["prior"], fx.DAY_STAMPS[1], compat)
 
 
-def contract_report(spark: SparkSession, sf: str, compat: str = reports.DEFAULT) -> DataFrame:
-    i = report_inputs(spark, sf)
+def contract_report(spark: SparkSession, sf: str, compat: str = reports.DEFAULT,
+                    multi_day: bool = False) -> DataFrame:
+    i = report_inputs(spark, sf, multi_day)
+    if compat == reports.DEFAULT:
+        return reports.contract_events(i["trans"], i["cards"], i["accounts"], i["clients"], i["prior"],
+                                       fx.DAY_STAMPS[1])
     rows = reports.run_reports(**i, run_ts=fx.DAY_STAMPS[1], compat=compat)
     return rows.where(F.col("event_type") == "2")
 
 
+def q_quarantine_cards(spark, sf):
+    """A snapshot in which a quarter of the cards has no number: what goes on and what is held."""
+    good, bad = d2.split_null_keys(staging.stamp(fx.view(spark, sf, "cards_keyless"), fx.DAY_STAMPS[1]), DIMS["cards"])
+    return _text_times(good.withColumn("place", F.lit("kept")).unionByName(
+        bad.withColumn("place", F.lit("quarantined"))))
+
+
 def q_report_padded_cards(spark, sf):
     """Contract events where the card source pads card numbers with blanks: the
     history keeps them as delivered, the report matches on the trimmed number."""
@@ -214,9 +243,9 @@ def q_report_padded_cards(spark, sf):
     return _text_times(out)
 
 
-def _report(kind: str, compat: str) -> Query:
+def _report(kind: str, compat: str, multi_day: bool = False) -> Query:
     fn = passport_report if kind == "passport" else contract_report
-    return lambda spark, sf: _text_times(fn(spark, sf, compat))
+    return lambda spark, sf: _text_times(fn(spark, sf, compat, multi_day))
 
 
 def queries() -> dict[str, Query]:
@@ -228,16 +257,20 @@ def queries() -> dict[str, Query]:
     }
     for dim in ("cards", "terminals", "accounts", "clients"):
         q[f"dim_insert_new_{dim}"] = _type1(dim)
-    q["hist_insert_new_cards"] = q_hist_insert_new_cards
-    q["hist_close_changed_cards"] = q_hist_close_changed_cards
-    q["hist_open_changed_cards"] = q_hist_open_changed_cards
-    q["hist_mark_deleted_cards"] = _deleted_rows("cards", d2.DEFAULT)
+    for dim in ("cards", "terminals", "accounts", "clients"):
+        q[f"hist_insert_new_{dim}"] = _insert_new(dim)
+        q[f"hist_close_changed_{dim}"] = _close_changed(dim)
+        q[f"hist_open_changed_{dim}"] = _open_changed(dim)
+        q[f"hist_mark_deleted_{dim}"] = _deleted_rows(dim, d2.DEFAULT)
     q["hist_mark_deleted_terminals_legacy"] = _deleted_rows("terminals", d2.LEGACY)
     for dim in ("cards", "terminals", "accounts", "clients"):
         q[f"hist_apply_{dim}"] = _hist_key(dim, 2)
     q["hist_replay_three_days"] = _hist_key("cards", 3)
     q["hist_replay_three_days_legacy"] = _hist_key("cards", 3, d2.LEGACY)
+    for dim in ("terminals", "accounts", "clients"):
+        q[f"hist_apply_{dim}_legacy"] = _hist_key(dim, 2, d2.LEGACY)
     q["hist_live_rows"] = q_hist_live_rows
+    q["quarantine_cards"] = q_quarantine_cards
     q["fact_append_all_blacklist"] = q_fact_append_all_blacklist
     q["fact_append_all_transactions"] = q_fact_append_all_transactions
     q["fact_append_new_transactions"] = q_fact_append_new_transactions
@@ -248,5 +281,8 @@ def queries() -> dict[str, Query]:
     q["report_passport_events_legacy"] = _report("passport", reports.LEGACY)
     q["report_contract_events"] = _report("contract", reports.DEFAULT)
     q["report_contract_events_legacy"] = _report("contract", reports.LEGACY)
+    for kind in ("passport", "contract"):
+        q[f"report_{kind}_events_multi_day"] = _report(kind, reports.DEFAULT, True)
+        q[f"report_{kind}_events_multi_day_legacy"] = _report(kind, reports.LEGACY, True)
     q["report_padded_cards"] = q_report_padded_cards
     return q

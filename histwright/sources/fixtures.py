@@ -105,12 +105,21 @@ VIEW_DEFS: dict[str, tuple[str, list[str], str | None]] = {
         "replace(cast(cast(l_extendedprice as decimal(12,2)) as string), '.', ',') as amt",
         "l_linestatus as oper_result", "cast(l_partkey as string) as terminal",
     ], None),
+    # Ten orders to a customer, so the passports grow with the clients.
     "prior_report": ("transactions", [
-        "cast(trans_date as date) as event_dt", "'PS' || cast(trans_id % 1500 as string) as passport",
+        "cast(trans_date as date) as event_dt",
+        "'PS' || cast(cast(floor(trans_id / 80) as bigint) as string) as passport",
         "case when trans_id % 2 = 0 then '1' else '2' end as event_type",
-    ], "trans_id % 5 = 0"),
-    "cards_padded": ("cards_d1", ["card_num || '  ' as card_num", "account_num"], None),
+    ], None),
+    "cards_keyless": ("cards_d0", [
+        "case when cast(card_num as bigint) % 4 = 0 then null else card_num end as card_num", "account_num"], None),
+    "cards_padded": ("cards_d0", ["card_num || '  ' as card_num", "account_num"], None),
 }
+# Whole snapshots (no key left out), and a second whole version of the clients.
+for _dim in ("cards", "terminals", "accounts", "clients"):
+    _src, _cols, _ = VIEW_DEFS[f"{_dim}_d1"]
+    VIEW_DEFS[f"{_dim}_d0"] = (_src, _cols, None)
+VIEW_DEFS["clients_d0_next"] = (*VIEW_DEFS["clients_d2"][:2], None)
 DISTINCT_VIEWS = {"prior_report"}
 
 
