@@ -100,11 +100,12 @@ def _sql_version(spec: DimSpec, key: str, src: str, frm: str, to: str, flag: str
     return f"named_struct({', '.join(fields)})"
 
 
-def snapshot_delta(open_rows: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
+def snapshot_delta(versions: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
                    compat: str = DEFAULT) -> DataFrame:
-    """New state of every open version and every staged key, in one join.
+    """New state of every version and every staged key, in one join.
 
-    ``open_rows`` are the open versions, ``stg`` the snapshot (``key, attrs,
+    ``versions`` are the open versions, or the whole history: closed versions match no staged
+    row and come out as they are (so chained applies read each version once). ``stg`` the snapshot (``key, attrs,
     update_dt``) with unique non-NULL keys. Output rows are history rows: the
     old version as it becomes (unchanged or closed) and, where needed, one new
     open version (changed, new, returned or tombstone):
@@ -126,17 +127,18 @@ def snapshot_delta(open_rows: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
     _check_compat(compat)
     k = spec.key
     attrs = ", ".join(spec.attrs)
-    o = open_rows.selectExpr(f"{k} AS _k",
-                             f"struct({attrs}, effective_from, effective_to, deleted_flg) AS o")
-    s = stg.selectExpr(f"{k} AS _k", f"struct({attrs}, update_dt) AS s")
-    j = o.join(s, "_k", "full_outer")
+    o = versions.selectExpr(f"{k} AS _ko", f"{OPEN_PRED} AS _open",
+                            f"struct({attrs}, effective_from, effective_to, deleted_flg) AS o")
+    s = stg.selectExpr(f"{k} AS _ks", f"struct({attrs}, update_dt) AS s")
+    j = o.join(s, F.expr("_ko = _ks AND _open"), "full_outer").selectExpr(
+        "coalesce(_ko, _ks) AS _k", "_open", "o", "s")
 
     ts = f"TIMESTAMP_NTZ'{stamp_text(run_ts)}'"
     open_ = f"TIMESTAMP_NTZ'{OPEN_END_TEXT}'"
     sec, day = "INTERVAL 1 SECOND", "INTERVAL 1 DAY"
     changed = " OR ".join(f"NOT (o.{a} <=> s.{a})" for a in spec.attrs)
     live = f"o.deleted_flg = '{FLAG_LIVE}'"
-    deleted = f"(o IS NOT NULL AND s IS NULL AND {live})"
+    deleted = f"(o IS NOT NULL AND s IS NULL AND _open AND {live})"
     returned = (f"(o IS NOT NULL AND s IS NOT NULL AND NOT ({changed}) AND NOT {live})"
                 if compat == DEFAULT else "false")
     replaced = f"(o IS NOT NULL AND s IS NOT NULL AND (({changed}) OR {returned}))"
@@ -167,10 +169,7 @@ def apply_snapshot(hist: DataFrame, stg: DataFrame, spec: DimSpec, run_ts,
     stg = stg.select(*spec.columns, "update_dt").where(f"{spec.key} IS NOT NULL")
     if check_unique:
         stg = unique_keys(stg, spec)
-    hist = hist.select(*spec.history_columns)
-    closed = hist.where(CLOSED_PRED)
-    delta = snapshot_delta(hist.where(OPEN_PRED), stg, spec, run_ts, compat)
-    return closed.unionByName(delta)
+    return snapshot_delta(hist.select(*spec.history_columns), stg, spec, run_ts, compat)
 
 
 def deletion_guard(hist: DataFrame, stg: DataFrame, spec: DimSpec,

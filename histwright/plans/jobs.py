@@ -161,11 +161,16 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
 
     writes.append(new_facts)
     _run_all(writes)
-    rep = reports.run_reports(
-        None, run.read("dim_cards_hist"), run.read("dim_accounts_hist"),
-        run.read("dim_clients_hist"), run.read("fact_passport_blacklist"),
-        state.read("rep_fraud"), run_ts, compat, stats=run.read("fact_card_day_stats"))
-    run.append("rep_fraud", rep.select(*TABLES["rep_fraud"].fieldNames()))
+    cards, accounts, clients = (run.read(f"dim_{d}_hist") for d in ("cards", "accounts", "clients"))
+    stats, prior = run.read("fact_card_day_stats"), state.read("rep_fraud")
+    columns = TABLES["rep_fraud"].fieldNames()
+    # The passport rows are written first; the legacy contract report reads them back as reported.
+    run.append("rep_fraud", reports.passport_events(
+        None, cards, accounts, clients, run.read("fact_passport_blacklist"), prior, run_ts, compat,
+        stats=stats).select(*columns), "passport")
+    seen = run.read("rep_fraud") if compat == d2.LEGACY else prior
+    run.append("rep_fraud", reports.contract_events(
+        None, cards, accounts, clients, seen, run_ts, compat, stats=stats).select(*columns), "contract")
     return run.commit()
 
 

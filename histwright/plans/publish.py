@@ -165,9 +165,9 @@ class Run:
         """This attempt's own folder of ``table``."""
         return f"{self.root}/tables/{table}/run={self.run_id}/attempt={self.attempt}"
 
-    def append(self, table: str, df: DataFrame) -> str:
-        """Add ``df`` as this run's segment of an append-only table."""
-        path = self.path(table)
+    def append(self, table: str, df: DataFrame, part: str | None = None) -> str:
+        """Add ``df`` as this run's segment (or a named part of it) of an append-only table."""
+        path = self.path(table) + (f"/{part}" if part else "")
         df.write.parquet(path)
         with self._lock:
             self.tables[table] = [p for p in self.tables.get(table, []) if p != path] + [path]
