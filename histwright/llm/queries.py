@@ -75,7 +75,8 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     good = (labels.where("quality = 1").select(F.col("doc_id")).distinct()
             .withColumn("target", F.lit(True)))
-    models = lm_score.fit(docs.select("doc_id", "text").join(good, "doc_id", "left"))
+    # The labels grow with the documents: a merge join at every size, never a broadcast of them.
+    models = lm_score.fit(docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left"))
     return lm_score.score(docs, models)
 
 
