@@ -30,7 +30,8 @@ exists`` (only the blacklist branch is suppressed), suppression matches an
 operation time against a report date (so only operations at midnight can be
 suppressed), ignores the event type, and the contract report also sees the
 passport report rows of the same run. The default suppresses both branches,
-compares days and only looks at earlier rows of the same event type.
+compares days, only looks at earlier rows of the same event type, and suppresses a person
+without a passport by name and phone, so such a row is reported once too.
 """
 
 from __future__ import annotations
@@ -135,6 +136,13 @@ def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     return collapse(c.join(collapse(acc, "account_num"), "account_num"), "card_num")
 
 
+def person_key() -> Column:
+    """Whom an earlier report row suppresses in default mode: the passport or, where that is not
+    known, name and phone as far as they are (NULL equals NULL)."""
+    unknown = F.concat(F.lit("N"), F.coalesce("fio", F.lit("")), F.lit("|"), F.coalesce("phone", F.lit("")))
+    return F.coalesce(F.concat(F.lit("P"), F.col("passport")), unknown)
+
+
 def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str) -> DataFrame:
     """Distinct report rows from candidates, suppressing rows reported before.
 
@@ -154,8 +162,9 @@ def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat:
         out = grouped.join(seen, keys, "left").where(
             F.col("keep") | (F.col("check") & F.col("_seen").isNull()))
     else:
-        seen = prior.where(F.col("event_type") == F.lit(event_type)).select(*keys)
-        out = grouped.join(seen, keys, "left_anti")
+        seen = prior.where(F.col("event_type") == F.lit(event_type)).select(
+            "event_dt", person_key().alias("_person"))
+        out = grouped.withColumn("_person", person_key()).join(seen, ["event_dt", "_person"], "left_anti")
     return out.select("event_dt", "passport", "fio", "phone",
                       F.lit(event_type).alias("event_type"), run_stamp(run_ts).alias("report_dt"))
 
@@ -234,13 +243,35 @@ def contract_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
     return _finish(cand, prior, EVENT_CONTRACT, run_ts, compat)
 
 
+def affected_statistics(stats: DataFrame, new_stats: DataFrame, cards: DataFrame, accounts: DataFrame,
+                        clients: DataFrame, new_cards: DataFrame, new_accounts: DataFrame,
+                        new_clients: DataFrame, new_blacklist: DataFrame) -> DataFrame:
+    """The statistics that can give a default-mode row which no earlier run has reported.
+
+    These are the run's own (``new_stats``), and all earlier ones (``stats``) of cards whose profile got
+    a new bound: a new version of the card, of an account of its, of a client of
+    that, or a new blacklist entry of the client's passport. All other (card, day) rows met the
+    same bounds before, so what they give was reported then and is suppressed now.
+
+    ``new_cards``, ``new_accounts``, ``new_clients``: versions that begin with the run.
+    """
+    listed = clients.join(new_blacklist.select("passport_num"), "passport_num", "left_semi").select("client_id")
+    people = listed.unionByName(new_clients.select("client_id")).select(F.col("client_id").alias("client"))
+    owned = accounts.join(people, "client", "left_semi").select("account_num")
+    books = owned.unionByName(new_accounts.select("account_num"))
+    held = (cards.join(books, "account_num", "left_semi").select("card_num")
+            .unionByName(new_cards.select("card_num")).select(F.trim("card_num").alias("card_num")))
+    return stats.join(held, "card_num", "left_semi").unionByName(new_stats)
+
+
 def run_reports(trans: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                 blacklist: DataFrame, prior: DataFrame, run_ts,
                 compat: str = DEFAULT, stats: DataFrame | None = None) -> DataFrame:
     """Both reports of one run, as the rows to append (passport report first)."""
     r1 = passport_events(trans, cards, accounts, clients, blacklist, prior, run_ts, compat, stats)
-    seen = prior.select("event_dt", "passport", "event_type")
+    seen = prior
     if compat == LEGACY:
-        seen = seen.unionByName(r1.select("event_dt", "passport", "event_type"))
+        columns = ["event_dt", "passport", "event_type"]
+        seen = prior.select(*columns).unionByName(r1.select(*columns))
     r2 = contract_events(trans, cards, accounts, clients, seen, run_ts, compat, stats)
     return r1.unionByName(r2)

@@ -13,8 +13,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.timefn import stamp_text
+from ..functions.timefn import run_stamp, stamp_text
 from ..operators import dims_type1 as d1
 from ..operators import dims_type2 as d2
 from ..operators import facts, meta, reports
@@ -102,6 +103,11 @@ def keyed(run: Run, stg: dict[str, DataFrame], writes: list) -> dict[str, DataFr
     return out
 
 
+def since(versions: DataFrame, run_ts: str) -> DataFrame:
+    """Versions that begin with the run."""
+    return versions.where(F.col("effective_from") >= run_stamp(run_ts))
+
+
 def _meta(state: State, run: Run, stg: DataFrame) -> None:
     m = state.read("meta") if state.segments("meta") else meta.seed(state.spark)
     run.replace("meta", meta.update_watermark(m, stg, "stg_terminals").select(*META.fieldNames()))
@@ -119,7 +125,7 @@ def _run_all(writes, threads: int = 4) -> None:
 
 def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
                   compat: str = d2.DEFAULT, skip_loaded_files: bool = True,
-                  max_delete_fraction: float | None = None) -> State:
+                  max_delete_fraction: float | None = None, full_reports: bool = False) -> State:
     """One day of the history job, published all-or-nothing.
 
     Order as in the original job: staging and watermark, the four dimensions
@@ -127,6 +133,10 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
     the new state. With ``max_delete_fraction`` a snapshot that would delete a
     larger share of a dimension's live keys stops the run before any write but
     staging. Staged rows without a key go to the dimension's quarantine table.
+
+    Default-mode reports look at the run's own operations and at cards whose profile the run
+    changed (``reports.affected_statistics``), not at all operations ever loaded;
+    ``full_reports`` recomputes them from everything, with the same result.
     """
     run_ts = stamp_text(run_ts)
     run = begin(spark, root, run_ts, day.files, skip_loaded_files)
@@ -163,6 +173,11 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
     _run_all(writes)
     cards, accounts, clients = (run.read(f"dim_{d}_hist") for d in ("cards", "accounts", "clients"))
     stats, prior = run.read("fact_card_day_stats"), state.read("rep_fraud")
+    if compat == d2.DEFAULT and not full_reports:
+        stats = reports.affected_statistics(
+            state.read("fact_card_day_stats"), run.read_new("fact_card_day_stats"), cards, accounts, clients,
+            *(since(run.read_new(f"dim_{d}_hist"), run_ts) for d in ("cards", "accounts", "clients")),
+            run.read_new("fact_passport_blacklist"))
     columns = TABLES["rep_fraud"].fieldNames()
     # The passport rows are written first; the legacy contract report reads them back as reported.
     run.append("rep_fraud", reports.passport_events(

@@ -235,6 +235,11 @@ class Run:
         return State(self.spark, self.root, self.run_id, self.tables,
                      pending=self.written).read(table)
 
+    def read_new(self, table: str) -> DataFrame:
+        """Only what this run has written to the table."""
+        own = [p for p in self.tables.get(table, []) if p in self.written]
+        return State(self.spark, self.root, self.run_id, {table: own}, pending=self.written).read(table)
+
     def commit(self) -> State:
         """Publish the run: the ledger of its files, then one manifest row."""
         if self.files:

@@ -8,13 +8,16 @@ def report(which: str, compat: str, ops: str = "transactions", cards: str = "car
            blacklist: str = "blacklist", prior: str = "prior_report") -> str:
     """Distinct (event_dt, passport, fio, phone) of the passport (``'1'``) or contract (``'2'``) report.
 
-    ``prior`` holds earlier report rows (event_dt, passport, event_type); for the legacy contract report
+    ``prior`` holds earlier report rows (event_dt, passport, fio, phone, event_type); for the legacy contract report
     also this run's passport rows.
     """
     legacy = compat == "legacy"
     when = "o.at" if legacy else "o.on_day"
     kind = "" if legacy else f" AND p.event_type = '{which}'"
-    told = (f"EXISTS (SELECT 1 FROM {prior} p WHERE p.passport = w.passport "
+    # Default: a person without a passport is known by name and phone.
+    person = ("coalesce('P' || {0}.passport, 'N' || coalesce({0}.fio, '') || '|' || coalesce({0}.phone, ''))"
+              if not legacy else "{0}.passport")
+    told = (f"EXISTS (SELECT 1 FROM {prior} p WHERE {person.format('p')} = {person.format('w')} "
             f"AND p.event_dt = {when}{kind})")
     if which == "2":
         test = f"o.at > w.contract_end AND NOT {told}"

@@ -109,6 +109,7 @@ VIEW_DEFS: dict[str, tuple[str, list[str], str | None]] = {
     "prior_report": ("transactions", [
         "cast(trans_date as date) as event_dt",
         "'PS' || cast(cast(floor(trans_id / 80) as bigint) as string) as passport",
+        "cast(null as string) as fio", "cast(null as string) as phone",
         "case when trans_id % 2 = 0 then '1' else '2' end as event_type",
     ], None),
     "cards_keyless": ("cards_d0", [
@@ -190,7 +191,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prior_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report rows of earlier runs: (event_dt, passport, event_type)."""
+    """Report rows of earlier runs: (event_dt, passport, fio, phone, event_type)."""
     return view(spark, sf_dir, "prior_report")
 
 

@@ -46,8 +46,9 @@ def gen(seed):
                     rnd.choice(["100", None])))]
     bl = [(dt.datetime(2021, 3, rnd.randint(1, 5)), rnd.choice(["P1", "P2", "P3"]))
           for _ in range(rnd.randint(0, 4))]
-    prior = [(day(), rnd.choice(["P1", "P2", "P3"]), rnd.choice(["1", "2"]))
-             for _ in range(rnd.randint(0, 5))]
+    prior = [(day(), *rnd.choice([("P1", "L F M", "100"), ("P2", None, None), ("P3", "x", "y"),
+                                  (None, None, None), (None, "L F M", "100"), (None, None, "100")]),
+              rnd.choice(["1", "2"])) for _ in range(rnd.randint(0, 9))]
     return tx, cards, accounts, clients, bl, prior
 
 
@@ -61,7 +62,7 @@ SCHEMAS = {
                "passport_num string, passport_valid_to date, phone string, "
                "effective_from timestamp_ntz, effective_to timestamp_ntz, deleted_flg string",
     "blacklist": "entry_dt timestamp_ntz, passport_num string",
-    "prior": "event_dt date, passport string, event_type string",
+    "prior": "event_dt date, passport string, fio string, phone string, event_type string",
 }
 
 NAMES = dict(ops="trans", cards="cards", accounts="accounts", clients="clients", blacklist="blacklist")
