@@ -6,7 +6,6 @@ tests, the bench and command-line jobs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,20 +65,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the setting names a shared folder and is used as is. Only
-    when it is unset (local tests) a folder is set here: ``fallback`` or a
-    fresh scratch directory.
+    The setting is used as is. Where it is unset, ``fallback`` is set or, in a local session
+    only, a fresh scratch folder; a cluster session needs one of the two, as a
+    folder on the driver's machine would be lost with it and unseen by the executors.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not fallback and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = fallback or tempfile.mkdtemp(prefix="histwright-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
-
-
-def scratch_dir(prefix: str = "histwright-") -> str:
-    """Fresh local scratch directory (tests only)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

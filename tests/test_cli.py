@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from histwright.__main__ import file_day, main
 from histwright.plans import publish
-from histwright.session import scratch_dir
+from scratch import scratch_dir
 from histwright.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"

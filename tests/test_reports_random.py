@@ -10,7 +10,7 @@ import pytest
 
 from histwright.operators import reports
 from histwright.plans.report_sql import report
-from histwright.session import scratch_dir
+from scratch import scratch_dir
 
 RUN = "2021-03-05 09:00:00"
 OPEN = dt.datetime(9999, 12, 31)

@@ -10,7 +10,7 @@ from histwright.operators import reports
 from histwright.plans import registry as R
 from histwright.plans.oracle import DAY_STAMPS
 from histwright.plans.report_sql import report
-from histwright.session import scratch_dir
+from scratch import scratch_dir
 from histwright.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"

@@ -12,7 +12,7 @@ from histwright.functions.compare import compared_columns
 from histwright.session import cluster_conf
 from histwright.schemas import (BLACKLIST_FILE_ORDER, CLIENTS, TERMINALS_FILE_ORDER,
                                 TRANSACTIONS_FILE_ORDER)
-from histwright.session import scratch_dir
+from scratch import scratch_dir
 from histwright.sources import staging
 from histwright.sources.files import read_delimited, read_source_table, read_workbook_sheet
 

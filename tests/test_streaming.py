@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from histwright.plans import jobs, publish
-from histwright.session import scratch_dir
+from scratch import scratch_dir
 from histwright.sources import fixtures as fx
 from histwright.streaming.drops import day_handler, run_drops
 
