@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from scratch import rows
 from histwright.functions import row_changed, run_stamp
 from histwright.operators import dims_type2 as d2
 from histwright.operators import reports

@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
 from histwright.operators import dims_type2 as d2
 from histwright.plans import jobs, publish
 from histwright.plans import registry as R
-from scratch import scratch_dir
+from scratch import rows, scratch_dir
 from histwright.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"

@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from scratch import rows
 from histwright.functions import run_stamp
 from histwright.operators import dims_type2 as d2
 from histwright.schemas import CARDS, empty

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from scratch import rows
 from histwright.functions import run_stamp
 from histwright.operators import dims_type2 as d2
 from histwright.schemas import TERMINALS, empty

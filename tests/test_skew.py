@@ -5,12 +5,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from histwright.operators import reports
 from histwright.plans import registry as R
 from histwright.plans.oracle import DAY_STAMPS
 from histwright.plans.report_sql import report
-from scratch import scratch_dir
+from scratch import rows, scratch_dir
 from histwright.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
