@@ -162,8 +162,9 @@ def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat:
         out = grouped.join(seen, keys, "left").where(
             F.col("keep") | (F.col("check") & F.col("_seen").isNull()))
     else:
-        seen = prior.where(F.col("event_type") == F.lit(event_type)).select(
-            "event_dt", person_key().alias("_person"))
+        missing = [F.lit(None).cast("string").alias(c) for c in ("fio", "phone") if c not in prior.columns]
+        seen = (prior.where(F.col("event_type") == F.lit(event_type)).select("*", *missing)
+                .select("event_dt", person_key().alias("_person")))
         out = grouped.withColumn("_person", person_key()).join(seen, ["event_dt", "_person"], "left_anti")
     return out.select("event_dt", "passport", "fio", "phone",
                       F.lit(event_type).alias("event_type"), run_stamp(run_ts).alias("report_dt"))
