@@ -73,11 +73,7 @@ def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled of quality 1. Background: all documents."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    good = (labels.where("quality = 1").select(F.col("doc_id")).distinct()
-            .withColumn("target", F.lit(True)))
-    # The labels grow with the documents: a merge join at every size, never a broadcast of them.
-    models = lm_score.fit(docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left"))
-    return lm_score.score(docs, models)
+    return lm_score.score_all(docs, labels.where("quality = 1").select("doc_id"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

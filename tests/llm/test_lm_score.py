@@ -8,7 +8,7 @@ import odd
 import pytest
 from pyspark.sql import functions as F
 
-from histwright.llm import lm_score
+from histwright.llm import lm_score, queries
 
 
 def words(text):
@@ -80,3 +80,44 @@ def test_awkward_rows(spark):
     empty = lm_score.fit(odd.none(spark).withColumn("target", F.lit(True)))
     assert lm_score.score(odd.none(spark), empty).count() == 0
     assert all(math.isfinite(r.score) for r in lm_score.score(docs, empty).collect())
+
+
+@pytest.mark.parametrize("part", [lm_score.PART, 300])
+def test_whole_models_equal_plain_counts(spark, part):
+    import random
+    rnd = random.Random(8)
+    # One word and one bigram in all documents, and rare words that a share of 1/250,000 would keep only here.
+    rows = [(d, "the hot " + " ".join(rnd.choice(["a", "B", "cc", f"rare{d}", f"twice{d // 2}"])
+                                      for _ in range(rnd.randint(0, 25))), d % 3 == 0) for d in range(60)]
+    rows += [(70, None, True), (71, " \n", False), (72, "alone", True)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    ids = spark.createDataFrame([(r[0],) for r in rows if r[2]] + [(None,), (999,), (0,)], "doc_id long")
+    got = {r.doc_id: tuple(r)[1:] for r in lm_score.score_all(df, ids, part).collect()}
+    want = plain(rows, 10**9, 10**9)
+    assert len(got) == len(rows)
+    for d in want:
+        assert got[d] == pytest.approx(want[d], abs=1e-9), d
+
+
+def test_query_keeps_rare_words_in_a_large_corpus(spark, tmp_path):
+    # 120,000 words, so one occurrence of a word is below the former share of 1/100,000.
+    rows = [(d, "the of and to in " * 400, False) for d in range(60)]
+    rows += [(100, "the zebra", True), (101, "the zebra", False), (102, "the gnu", False)]
+    spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(100, 1), (0, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: tuple(r)[1:] for r in queries.op10_cross_entropy_difference(spark, str(tmp_path)).collect()}
+    want = plain(rows, 10**9, 10**9)
+    for d in want:
+        assert got[d] == pytest.approx(want[d], abs=1e-9), d
+    assert got[101][3] < got[102][3]
+
+
+def test_whole_models_on_awkward_rows(spark):
+    docs = odd.table(spark)
+    got = lm_score.score_all(docs, docs.where("doc_id < 3").select("doc_id")).collect()
+    assert len(got) == len(odd.rows())
+    assert all(r.score == 0 and r.n_words == 0 for r in got if r.doc_id in (4, 5, 6))
+    assert all(math.isfinite(r.score) for r in got)
+    assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
+    assert lm_score.score_all(odd.none(spark), docs.select("doc_id")).count() == 0
+    assert all(math.isfinite(r.score) for r in lm_score.score_all(docs, docs.select("doc_id").limit(0)).collect())
