@@ -155,38 +155,43 @@ def assign(lengths: list[int], seq_len: int = SEQ_LEN, linear: float = 1.0,
            quadratic: float = 1.0 / 256) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece.
 
-    Documents in descending length (ties: the earlier first). Sequences with room
-    stand in one heap for each bit length of their room, cheapest first, so the cheapest
+    Documents in descending length (ties: the earlier first). Sequences of equal room stand in one
+    heap, cheapest first; a tree over the rooms holds the cheapest of each range, so the cheapest
     one that holds a piece whole is found without looking at all of them.
     """
     room = sizes(sum(lengths), seq_len)
     size, cost = list(room), [0.0] * len(room)
-    heaps: list[list[tuple[float, int]]] = [[] for _ in range(max(room, default=0).bit_length() + 1)]
+    top = 1 << max(room, default=0).bit_length()
+    heaps: list[list[tuple[float, int]]] = [[] for _ in range(top)]
+    none = (float("inf"), -1)
+    tree = [none] * (2 * top)
+
+    def renew(r: int) -> None:
+        i = r + top
+        tree[i] = heaps[r][0] if heaps[r] else none
+        while i > 1:
+            i >>= 1
+            tree[i] = min(tree[2 * i], tree[2 * i + 1])
+
     for s, r in enumerate(room):
-        heaps[r.bit_length()].append((0.0, s))
+        heaps[r].append((0.0, s))
+    for r in set(room):
+        renew(r)
 
     def cheapest(need: int) -> int | None:
         """The cheapest sequence with room for ``need`` ids; it leaves its heap."""
-        exact, least = need.bit_length(), None
-        for b in range(exact + 1, len(heaps)):  # all of these have the room
-            if heaps[b] and (least is None or heaps[b][0] < heaps[least][0]):
-                least = b
-        same = heaps[exact]
-        if same and (least is None or same[0] < heaps[least][0]):
-            aside = []
-            while same and room[same[0][1]] < need and len(aside) < 64:
-                aside.append(heapq.heappop(same))
-            fits = bool(same) and room[same[0][1]] >= need
-            got = heapq.heappop(same) if fits and (least is None or same[0] < heaps[least][0]) else None
-            for x in aside:
-                heapq.heappush(same, x)
-            if got:
-                return got[1]
-        return heapq.heappop(heaps[least])[1] if least is not None else None
-
-    def any_room() -> int:
-        least = min((b for b in range(1, len(heaps)) if heaps[b]), key=lambda b: heaps[b][0])
-        return heapq.heappop(heaps[least])[1]
+        best, i = none, need + top
+        if need < top:
+            best = tree[i]
+            while i > 1:
+                if not i & 1:
+                    best = min(best, tree[i + 1])
+                i >>= 1
+        if best is none:
+            return None
+        heapq.heappop(heaps[room[best[1]]])
+        renew(room[best[1]])
+        return best[1]
 
     out = []
     for d in sorted(range(len(lengths)), key=lambda d: -lengths[d]):
@@ -194,13 +199,14 @@ def assign(lengths: list[int], seq_len: int = SEQ_LEN, linear: float = 1.0,
         while left:
             s = cheapest(min(left, seq_len))
             if s is None:
-                s = any_room()
+                s = cheapest(1)
             n = min(left, room[s])
             out.append((d, start, n, s, size[s] - room[s]))
             room[s] -= n
             cost[s] += linear * n + quadratic * n * n
             if room[s]:
-                heapq.heappush(heaps[room[s].bit_length()], (cost[s], s))
+                heapq.heappush(heaps[room[s]], (cost[s], s))
+                renew(room[s])
             start, left = start + n, left - n
     return out
 

@@ -87,3 +87,21 @@ def test_pieces_give_back_every_document(spark):
         at += r.length
     assert at == len(tokens)
     assert packing.pack(odd.none(spark)).count() == 0
+
+
+def test_assignment_takes_the_cheapest_with_room():
+    rnd = random.Random(4)
+    # Some hundred sequences, of which more than 64 of one size class lack room for a piece.
+    for spread in ((200, 560), (100, 900), (1, 3000)):
+        lengths = [rnd.randint(*spread) for _ in range(1200)]
+        size = packing.sizes(sum(lengths), 1024)
+        room, cost, blocked = list(size), [0.0] * len(size), 0
+        for d, start, n, s, _ in packing.assign(lengths, 1024):
+            need = min(lengths[d] - start, 1024)
+            fits = [x for x in range(len(size)) if room[x] >= need]
+            assert s == min(fits or [x for x in range(len(size)) if room[x]], key=lambda x: (cost[x], x))
+            blocked = max(blocked, sum(need.bit_length() == room[x].bit_length() and room[x] < need
+                                       for x in range(len(size))))
+            room[s] -= n
+            cost[s] += n + n * n / 256
+        assert blocked > 64 or spread[0] == 1
