@@ -1,7 +1,7 @@
 """Connected components of a link table, as Spark jobs.
 
-Each round runs a union-find inside every partition (which leaves at most one link for each
-node there), then a large-star and a small-star step over the whole table.
+Links are dealt evenly, also those of one node. Each round runs a union-find inside every
+partition (which leaves at most one link for each node there), then a large-star and a small-star step over the whole table.
 Links are halved or better from round to round until every node points at its
 component's smallest one. All rounds are written to the shared folder; only counts and checksums
 reach the driver. A node with very many links is a group-by on its id with
@@ -73,9 +73,10 @@ def components(links: DataFrame) -> DataFrame:
                             F.countDistinct("u")).first())
 
     def forest(df: DataFrame, n: int) -> DataFrame:
-        # Sized by rows, so that a round over few links is not hundreds of near-empty tasks.
+        # Sized by rows, so that a round over few links is not hundreds of near-empty tasks. Dealt by the
+        # whole link: by one end, a star's links would all be one task's.
         tasks = -(-n // LINKS_PER_TASK)
-        return materialize(local_forest(df.repartition(tasks, "v") if tasks > 1 else df.coalesce(1)), "cc-forest")
+        return materialize(local_forest(df.repartition(tasks, "u", "v") if tasks > 1 else df.coalesce(1)), "cc-forest")
 
     now = materialize(links.where("u <> v").select("u", "v").distinct(), "cc-links")
     n = now.count()

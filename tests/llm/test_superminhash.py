@@ -7,6 +7,8 @@ import numpy as np
 import odd
 import pytest
 
+from pyspark.sql import functions as F
+
 from histwright.llm import components as cc
 from histwright.llm import superminhash as smh, textnum as tn
 
@@ -125,3 +127,17 @@ def test_components(spark, monkeypatch, links_per_task):
         top[max(a, b)] = min(a, b)
     assert found == {x: root(x) for x in top if root(x) != x}
     assert cc.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_one_star_is_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(cc, "LINKS_PER_TASK", 200)
+    most, plain = [], cc.local_forest
+
+    def spy(links):
+        most.append(max(r["count"] for r in links.groupBy(F.spark_partition_id()).count().collect()))
+        return plain(links)
+
+    monkeypatch.setattr(cc, "local_forest", spy)
+    links = spark.createDataFrame([(i, 0) for i in range(1, 2001)], "u long, v long")
+    assert {tuple(r) for r in cc.components(links).collect()} == {(i, 0) for i in range(1, 2001)}
+    assert len(most) > 1 and max(most) <= 2 * 200
