@@ -28,8 +28,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without cross-site boilerplate lines; ``n_chars`` follows the text."""
-    done = line_dedup.remove_boilerplate(docs)
+    """Texts without cross-site boilerplate lines; ``n_chars`` follows the text.
+
+    Only documents that have no line of their own keep theirs, as copies for the next stage.
+    """
+    done = line_dedup.remove_boilerplate(docs, max_share=None)
     return (done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
                             .otherwise(F.col("n_chars"))).select(*docs.columns))
 

@@ -8,7 +8,8 @@ task. Lines whose estimate is within ``band`` of the threshold get an exact dist
 count; only these lines' sites are shuffled for it.
 
 A document that would lose more than ``max_share`` of its characters is a copy of another document
-rather than a page with boilerplate: it is left whole, for the near-duplicate operator.
+rather than a page with boilerplate: it is left whole, for the near-duplicate operator. With ``max_share``
+None the share doesn't matter: only a document all of whose non-blank lines are boilerplate is left whole.
 
 Line hashes are two independent 64-bit hashes, so at 10**12 distinct lines none is
 expected to be taken for another.
@@ -56,7 +57,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
         exact.select("h1", "h2"))
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: float = MAX_SHARE,
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE,
                        lg_k: int = LG_K) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and n_lines, n_removed, left_whole."""
     lines = document_lines(docs.select("doc_id", "source", "text"))
@@ -73,7 +74,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: f
     own = own.select("r", F.xxhash64(text).alias("key"), _lines(text).alias("all_lines"))
     same = F.col("r.doc_id").eqNullSafe(F.col("drop_id")) & (F.col("key") == F.col("drop_key"))
     lost = F.aggregate("drop", F.lit(0), lambda a, p: a + F.length(F.get(F.col("all_lines"), p)))
-    whole = F.coalesce(lost > F.length(text) * max_share, F.lit(False))
+    own_lines = F.filter("all_lines", lambda x: F.btrim(x, F.lit(" \t\r")) != "")
+    copy = (F.size("drop") == F.size(own_lines)) if max_share is None else (lost > F.length(text) * max_share)
+    whole = F.coalesce(copy, F.lit(False))
     removed = F.when(F.col("left_whole") | F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop"))
     rest = F.array_join(F.filter("all_lines", lambda _, i: ~F.array_contains("drop", i)), "\n")
     done = (own.join(drop, same, "left").withColumn("left_whole", whole)

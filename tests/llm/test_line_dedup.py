@@ -4,6 +4,7 @@ import random
 
 import odd
 
+import corpus_pipeline
 from histwright.llm import line_dedup
 
 
@@ -63,3 +64,12 @@ def test_awkward_rows(spark):
     assert {r.text for r in cut if r.doc_id in (7, 8)} == {""}
     assert {r.text for r in cut if r.doc_id == 4} == {None}
     assert line_dedup.remove_boilerplate(odd.none(spark)).count() == 0
+
+
+def test_short_pages_lose_their_footer_in_the_pipeline(spark):
+    footer = "a footer line that is longer than all the rest of the page"
+    rows = [(d, f"own {d}\n\n{footer}\t", "en", f"s{d % 12}", 0) for d in range(24)]
+    rows += [(100 + d, f"{footer}\n \nsecond shared line of all copies", "en", f"s{d}", 0) for d in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup_stage(spark, df, "").collect()}
+    assert got == {r[0]: (f"own {r[0]}\n", len(f"own {r[0]}\n")) if r[0] < 100 else (r[1], 0) for r in rows}
