@@ -203,6 +203,16 @@ def _unpacked(raw: bytes | pa.Buffer, columns: int, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"<u{len(raw) // (columns * n)}").reshape(columns, n)
 
 
+def _key_bytes(key: np.ndarray) -> bytes:
+    """Steps between sorted keys, byte by byte in planes: the high planes are zeros, which compress."""
+    return np.diff(key, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _key_array(raw: pa.Buffer) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def _cells(chunk: int, kind: int, parts: int, key: np.ndarray, counts: np.ndarray) -> pa.Table:
     """Sorted keys and their counts, one row for each bucket that has some; bigrams have the odd buckets."""
     # In two halves, as the product of a 64-bit key and the number of buckets is wider than 64 bits.
@@ -210,7 +220,7 @@ def _cells(chunk: int, kind: int, parts: int, key: np.ndarray, counts: np.ndarra
     some, at = np.unique(part, return_index=True)
     ends = np.append(at, len(key))
     return pa.table([pa.array(np.full(len(some), chunk)), pa.array(some * 2 + kind),
-                     pa.array([key[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary()),
+                     pa.array([_key_bytes(key[i:j]) for i, j in zip(ends, ends[1:])], pa.binary()),
                      pa.array([_packed(counts[:, i:j]) for i, j in zip(ends, ends[1:])], pa.binary())],
                     names=["chunk", "bucket", "keys", "counts"])
 
@@ -261,7 +271,7 @@ def _answer(asked: pa.Table) -> pa.Table:
     """Corpus counts of the keys of each row; of words also a row of totals: distinct, target, all."""
     bucket = asked.column("bucket")[0].as_py()
     columns = 2 if bucket % 2 else 4
-    keys = [np.frombuffer(x.as_buffer(), "<u8") for x in asked.column("keys")]
+    keys = [_key_array(x.as_buffer()) for x in asked.column("keys")]
     counts = [_unpacked(x.as_py(), columns, len(k)) for x, k in zip(asked.column("counts"), keys)]
     key, at = np.unique(np.concatenate(keys), return_inverse=True)
     value = np.concatenate(counts, axis=1)
