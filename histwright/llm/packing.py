@@ -23,12 +23,8 @@ rows; a NULL ``doc_id`` stays NULL; other input columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import heapq
-import os
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,112 +32,33 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from . import textnum as tn
+from . import units
+
 SEQ_LEN = 1024
 BUFFER_TOKENS = 2 << 20
 SEPARATOR = 0
-#: Words in a generation of a task's cache; two generations are remembered.
-CACHE_WORDS = 300_000
+#: Bytes of text encoded at once, or one text.
+CHUNK_BYTES = 4 << 20
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long")
 
 
-def byte_alphabet() -> dict[int, str]:
-    """The byte-level BPE alphabet by rule: printable Latin-1 bytes stand for themselves, the
-    others take the code points from 256 on, in order."""
-    own = {b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)}
-    rest = iter(range(256, 512))
-    return {b: chr(b) if b in own else chr(next(rest)) for b in range(256)}
-
-
 def id_bytes(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit."""
-    a = array("I", ids)
-    if sys.byteorder == "big":
-        a.byteswap()
-    return a.tobytes()
-
-
-def encode(tokenizer, text: str) -> bytes:
-    return id_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
-
-
-class WhiteSpace(ValueError):
-    """A word that is empty or starts or ends with white space: its text is encoded whole."""
-
-
-class WordIds(dict):
-    """Token ids of one word (with what stands before it), computed on first use.
-
-    A word of letters, or of letters and then common punctuation, is one or two
-    pre-tokens, which go straight to the tokenizer's model; all others through the whole
-    tokenizer. When full, the words of the generation before last are forgotten.
-    """
-
-    _BYTES = byte_alphabet()
-    _MARKS = ".,;:!?"
-
-    def __init__(self, tokenizer, prefix: str):
-        self.tokenizer, self.prefix = tokenizer, prefix
-        self.tokenize, self.older = tokenizer.model.tokenize, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = self._encode(word)
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
-
-    def _encode(self, word: str) -> bytes:
-        letters = word.rstrip(self._MARKS)
-        if not letters.isalpha():
-            if not word or word[0].isspace() or word[-1].isspace():
-                raise WhiteSpace
-            return encode(self.tokenizer, self.prefix + word)
-        text = (self.prefix + letters).encode().decode("latin-1").translate(self._BYTES)
-        tokens = self.tokenize(text)
-        if len(letters) < len(word):
-            tokens += self.tokenize(word[len(letters):])
-        return id_bytes([t.id for t in tokens])
+    return np.asarray(ids, "<u4").tobytes()
 
 
 class Encoder:
-    """Token ids of whole texts through a byte-level BPE tokenizer file.
-
-    Such a tokenizer splits before a single space or newline between two other
-    characters, and never merges across that split. Texts with only such white
-    space between words are encoded word by word from a cache, all others whole.
-    """
+    """Token ids of whole texts through a byte-level BPE tokenizer file, by their distinct units (``units``)."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.first = WordIds(self.tokenizer, "")
-        self.later = WordIds(self.tokenizer, " ")
-        self.newline = encode(self.tokenizer, "\n")
+        self.ids = units.UnitIds(path)
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        lines = []
-        first, later = self.first.__getitem__, self.later.__getitem__
-        try:
-            for line in text.split("\n"):
-                words = line.split(" ")
-                lines.append(first(words[0]) + b"".join(map(later, words[1:])))
-        except WhiteSpace:
-            return encode(self.tokenizer, text)
-        return self.newline.join(lines)
-
-
-@functools.lru_cache(maxsize=1)
-def shared_encoder(path: str) -> Encoder:
-    """One encoder for all tasks of a Python worker, so they share its cache."""
-    return Encoder(path)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return id_bytes(self.ids(raw, np.array([0, len(raw)], np.int64))[0])
 
 
 def sizes(total: int, seq_len: int) -> list[int]:
@@ -211,14 +128,14 @@ def assign(lengths: list[int], seq_len: int = SEQ_LEN, linear: float = 1.0,
     return out
 
 
-def _rows(doc_ids: list, ids: list[bytes], first_sequence: int, seq_len: int,
+def _rows(doc_ids: list, ids: list[memoryview], first_sequence: int, seq_len: int,
           linear: float, quadratic: float) -> tuple[pa.RecordBatch, int]:
     lengths = [len(b) // 4 for b in ids]
     pieces = assign(lengths, seq_len, linear, quadratic)
     held = sizes(sum(lengths), seq_len)
     cols = list(zip(*pieces))
     d, start, n, s, off = cols
-    crc = [zlib.crc32(memoryview(ids[x])[4 * a:4 * (a + k)]) for x, a, k in zip(d, start, n)]
+    crc = [zlib.crc32(ids[x][4 * a:4 * (a + k)]) for x, a, k in zip(d, start, n)]
     return pa.RecordBatch.from_arrays([
         pa.array([doc_ids[x] for x in d], pa.int64()), pa.array(start, pa.int64()),
         pa.array(n, pa.int64()), pa.array(crc, pa.int64()),
@@ -236,26 +153,29 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, seq_len: int = SEQ_
     ``tokenizer_path`` names a byte-level BPE tokenizer file readable on every executor;
     by default the public 50k vocabulary found there.
     """
-    separator = np.array([SEPARATOR], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path("byte_bpe_50k.json")
-        encoder = shared_encoder(path)
+        encode = units.shared_ids(path)
         task = TaskContext.get()
         sequence = (task.partitionId() if task else 0) << 40
         doc_ids, ids, held = [], [], 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                doc_ids.append(batch.column(0)[i].as_py())
-                ids.append(encoder(batch.column(1)[i].as_py()) + separator)
-                held += len(ids[-1]) // 4
-                if held >= buffer_tokens:
-                    rows, n = _rows(doc_ids, ids, sequence, seq_len, linear, quadratic)
-                    yield rows
-                    sequence, doc_ids, ids, held = sequence + n, [], [], 0
+            raw, offs = tn.utf8(batch.column(1))
+            for i, j, r, o in tn.chunks(raw, offs, CHUNK_BYTES):
+                got, first = encode(r, o)
+                all_ids = memoryview(np.insert(got, first[1:], SEPARATOR).astype("<u4")).cast("B")
+                end = 4 * (first + np.arange(len(first)))
+                for d, doc_id in enumerate(batch.column(0).slice(i, j - i).to_pylist()):
+                    doc_ids.append(doc_id)
+                    ids.append(all_ids[end[d]:end[d + 1]])
+                    held += len(ids[-1]) // 4
+                    if held >= buffer_tokens:
+                        rows, n = _rows(doc_ids, ids, sequence, seq_len, linear, quadratic)
+                        yield rows
+                        sequence, doc_ids, ids, held = sequence + n, [], [], 0
         if ids:
             yield _rows(doc_ids, ids, sequence, seq_len, linear, quadratic)[0]
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from histwright.llm import packing
+from histwright.llm import packing, units
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ENCODER, WHOLE = packing.Encoder(PATH), Tokenizer.from_file(PATH)
@@ -27,12 +27,13 @@ def test_word_cache_equals_whole_encoding(text):
 
 def test_special_cases_equal_whole_encoding():
     for text in ("it's we'll x's", "a <|endoftext|> b", "x<|endoftext|>", "don't, stop!!", " lead", "trail ", "a\n\nb",
-                 "a b\nc d", "ﬁ ½ Ⅷ x²", "é combining", "a b c", "a\x1cb c", "a_b c_d 3.5 1,000"):
+                 "a b\nc d", "ﬁ ½ Ⅷ x²", "é combining", "a b c", "a\x1cb c", "a_b c_d 3.5 1,000",
+                 " \n  x  y\n", "a\u2003 b\u3000\nc", "\u0e01\u0e33 \u0915\u094d\u0937 x", "x" * 9000, "\n\n", " "):
         assert ENCODER(text) == packing.id_bytes(ids(text)), text
 
 
 def test_cache_generations(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
+    monkeypatch.setattr(units, "REMEMBER", 3)
     small = packing.Encoder(PATH)
     text = " ".join(f"word{i % 11} again" for i in range(50))
     assert small(text) == packing.id_bytes(ids(text)) == small(text)
