@@ -19,7 +19,9 @@ from ..operators import facts, meta, reports
 from ..schemas import DIMS, TS, empty
 from ..sources import fixtures as fx
 from ..sources import staging
-from .oracle import TYPE1_REPORT_TS
+from . import day as whole_day
+from .jobs import DayInputs
+from .oracle import DAY_CARDS, TYPE1_REPORT_TS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -248,6 +250,48 @@ def _report(kind: str, compat: str, multi_day: bool = False) -> Query:
     return lambda spark, sf: _text_times(fn(spark, sf, compat, multi_day))
 
 
+# --- whole daily runs --------------------------------------------------------------------------
+
+def day_inputs(spark: SparkSession, sf: str, day: int) -> DayInputs:
+    """Everything one daily run reads: drops and snapshots of the whole tables. Some cards of day 1 have no number."""
+    bl = fx.blacklist(spark, sf)
+    drop = (bl.where(F.col("entry_dt") < F.lit(BLACKLIST_LOADED_BEFORE).cast(TS)) if day == 1
+            else bl.where(F.col("entry_dt") >= F.lit(BLACKLIST_REDROP_FROM).cast(TS)))
+    return DayInputs(
+        transactions=fx.transactions_batch(spark, sf, day), blacklist=drop, cards=fx.view(spark, sf, DAY_CARDS[day]),
+        **{d: fx.snapshot(spark, sf, d, day) for d in ("terminals", "accounts", "clients")},
+        terminals_ts=fx.FILE_DAY_STAMPS[day])
+
+
+def _two_days(kind: str, compat: str = d2.DEFAULT) -> Query:
+    """All target tables after the runs of two days, row by row with their table."""
+    def q(spark, sf):
+        state = whole_day.new_state(spark, whole_day.TYPE1 if kind == "type1" else whole_day.TYPE2)
+        for day in (1, 2):
+            inputs, ts = day_inputs(spark, sf, day), fx.DAY_STAMPS[day]
+            state = (whole_day.type1_day(state, inputs, ts) if kind == "type1"
+                     else whole_day.type2_day(state, inputs, ts, compat))
+        return whole_day.tagged_rows(state)
+    return q
+
+
+#: Snapshots of a replay of all dimensions; the third day brings most keys of the first back.
+REPLAY_DAYS = {"cards": (1, 2, 3), "terminals": (1, 2, 1), "accounts": (1, 2, 1), "clients": (1, 2, 1)}
+
+
+def q_replay_all_dimensions(spark, sf):
+    """The histories of all four dimensions after three daily snapshots."""
+    state = {}
+    for dim, days in REPLAY_DAYS.items():
+        spec = DIMS[dim]
+        h = empty(spark, spec.history_schema)
+        for day, view in enumerate(days, 1):
+            ts = _stamps(dim)[day]
+            h = d2.apply_snapshot(h, staging.stamp(fx.snapshot(spark, sf, dim, view), ts), spec, ts)
+        state[f"dim_{dim}_hist"] = h
+    return whole_day.tagged_rows(state)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "stage_transactions_typed": q_stage_transactions_typed,
@@ -285,4 +329,8 @@ def queries() -> dict[str, Query]:
         q[f"report_{kind}_events_multi_day"] = _report(kind, reports.DEFAULT, True)
         q[f"report_{kind}_events_multi_day_legacy"] = _report(kind, reports.LEGACY, True)
     q["report_padded_cards"] = q_report_padded_cards
+    q["day_type1_all_tables"] = _two_days("type1")
+    q["day_type2_all_tables"] = _two_days("type2")
+    q["day_type2_all_tables_legacy"] = _two_days("type2", d2.LEGACY)
+    q["replay_all_dimensions"] = q_replay_all_dimensions
     return q
