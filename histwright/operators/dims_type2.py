@@ -7,8 +7,8 @@ Two formulations are provided:
 
 * ``apply_snapshot`` - the production path: one full-outer join of the open
   versions with the staged snapshot on the key (a single shuffle), each joined
-  pair emitting at most two result rows. Closed versions pass through
-  untouched and are never shuffled.
+  pair emitting at most two result rows. The daily job passes open versions only, so closed
+  ones are never read there; called on a whole history, all its versions take part in the join.
 * the step functions ``insert_versions``, ``close_changed``, ``open_changed``,
   ``reopen_returned`` and ``mark_deleted`` composed by ``apply_stepwise`` -
   the same result step by step, in the order a set-based SQL job runs them

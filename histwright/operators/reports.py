@@ -36,7 +36,7 @@ without a passport by name and phone, so such a row is reported once too.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefn import run_stamp
@@ -102,7 +102,8 @@ def _fio(last: str = "last_name", first: str = "first_name", middle: str = "patr
 
 
 def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                  blacklist: DataFrame | None = None, need_client: bool = False) -> DataFrame:
+                  blacklist: DataFrame | None = None, need_client: bool = False,
+                  mark_known: bool = False) -> DataFrame:
     """Per trimmed card number and person (passport, name, phone) what the reports test: the
     earliest contract end, passport end and (with ``blacklist``) blacklist entry over all
     versions of card, account and client.
@@ -113,10 +114,10 @@ def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     and collapsed first, on the account-sized side; the card side meets it once. The joins above
     read plain shuffles, so adaptive execution can still split a hot account or card.
     Accounts are required; clients too with ``need_client``, else a card without one keeps a
-    NULL person.
+    NULL person. ``mark_known`` adds whether there is a client at all, for profiles that both reports read.
     """
     bounds = ["_vt", "_ct"] + (["_entry"] if blacklist is not None else [])
-    person = ["passport", "fio", "phone"]
+    person = ["passport", "fio", "phone"] + (["known"] if mark_known else [])
 
     def collapse(df: DataFrame, key: str) -> DataFrame:
         return df.groupBy(key, *person).agg(*[F.min(b).alias(b) for b in bounds])
@@ -127,7 +128,11 @@ def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     cl = clients.select(F.col("client_id").alias("client"),
                         F.col("passport_num").alias("passport"), _fio().alias("fio"), "phone",
                         F.col("passport_valid_to").cast(TS).alias("_vt"))
+    if mark_known:
+        cl = cl.withColumn("known", F.lit(True))
     acc = a.join(cl, "client", "inner" if need_client else "left")
+    if mark_known:
+        acc = acc.withColumn("known", F.coalesce("known", F.lit(False)))
     if blacklist is not None:
         first_entry = (blacklist.where(F.col("passport_num").isNotNull())
                        .groupBy(F.col("passport_num").alias("passport"))
@@ -143,20 +148,24 @@ def person_key() -> Column:
     return F.coalesce(F.concat(F.lit("P"), F.col("passport")), unknown)
 
 
-def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str) -> DataFrame:
-    """Distinct report rows from candidates, suppressing rows reported before.
+def distinct_candidates(cand: DataFrame) -> DataFrame:
+    """One row per (day, person) of the candidates that a report keeps or checks.
 
-    ``cand`` has (event_dt, passport, fio, phone, keep, check): ``keep`` rows are
-    reported unless suppressed in default mode; ``check`` rows (legacy only) are
-    reported only when no earlier row has the same passport and day.
     The distinct is a regular aggregate, so duplicates collapse map-side before
     the shuffle (a hot client on one day must not send all its candidate rows
     to one task); only distinct rows meet the suppression join.
     """
+    return (cand.where(F.col("keep") | F.col("check"))
+            .groupBy("event_dt", "passport", "fio", "phone")
+            .agg(F.bool_or("keep").alias("keep"), F.bool_or("check").alias("check")))
+
+
+def unreported(grouped: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str = DEFAULT) -> DataFrame:
+    """The report rows of distinct candidates, without those that earlier rows (``prior``) suppress.
+
+    Only earlier rows of the candidates' own days can suppress one, so ``prior`` may be any part that holds those.
+    """
     keys = ["passport", "event_dt"]
-    grouped = (cand.where(F.col("keep") | F.col("check"))
-               .groupBy("event_dt", "passport", "fio", "phone")
-               .agg(F.bool_or("keep").alias("keep"), F.bool_or("check").alias("check")))
     if compat == LEGACY:
         seen = prior.select(*keys).distinct().withColumn("_seen", F.lit(True))
         out = grouped.join(seen, keys, "left").where(
@@ -170,6 +179,16 @@ def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat:
                       F.lit(event_type).alias("event_type"), run_stamp(run_ts).alias("report_dt"))
 
 
+def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str) -> DataFrame:
+    """Distinct report rows from candidates, suppressing rows reported before.
+
+    ``cand`` has (event_dt, passport, fio, phone, keep, check): ``keep`` rows are
+    reported unless suppressed in default mode; ``check`` rows (legacy only) are
+    reported only when no earlier row has the same passport and day.
+    """
+    return unreported(distinct_candidates(cand), prior, event_type, run_ts, compat)
+
+
 def _check(compat: str) -> None:
     if compat not in (DEFAULT, LEGACY):
         raise ValueError(f"compat must be {DEFAULT!r} or {LEGACY!r}, got {compat!r}")
@@ -244,25 +263,43 @@ def contract_events(trans: DataFrame, cards: DataFrame, accounts: DataFrame,
     return _finish(cand, prior, EVENT_CONTRACT, run_ts, compat)
 
 
-def affected_statistics(stats: DataFrame, new_stats: DataFrame, cards: DataFrame, accounts: DataFrame,
-                        clients: DataFrame, new_cards: DataFrame, new_accounts: DataFrame,
-                        new_clients: DataFrame, new_blacklist: DataFrame) -> DataFrame:
-    """The statistics that can give a default-mode row which no earlier run has reported.
-
-    These are the run's own (``new_stats``), and all earlier ones (``stats``) of cards whose profile got
-    a new bound: a new version of the card, of an account of its, of a client of
-    that, or a new blacklist entry of the client's passport. All other (card, day) rows met the
-    same bounds before, so what they give was reported then and is suppressed now.
+def affected_cards(cards: DataFrame, accounts: DataFrame, clients: DataFrame, new_cards: DataFrame,
+                   new_accounts: DataFrame, new_clients: DataFrame, new_blacklist: DataFrame) -> DataFrame:
+    """Trimmed numbers of the cards whose profile got a new bound: a new version of the card, of an account
+    of its, of a client of that, or a new blacklist entry of the client's passport.
 
-    ``new_cards``, ``new_accounts``, ``new_clients``: versions that begin with the run.
+    All other (card, day) rows met the same bounds before, so what they give in default mode was
+    reported then and is suppressed now. ``new_*``: versions and entries that begin with the run.
     """
     listed = clients.join(new_blacklist.select("passport_num"), "passport_num", "left_semi").select("client_id")
     people = listed.unionByName(new_clients.select("client_id")).select(F.col("client_id").alias("client"))
     owned = accounts.join(people, "client", "left_semi").select("account_num")
     books = owned.unionByName(new_accounts.select("account_num"))
-    held = (cards.join(books, "account_num", "left_semi").select("card_num")
-            .unionByName(new_cards.select("card_num")).select(F.trim("card_num").alias("card_num")))
-    return stats.join(held, "card_num", "left_semi").unionByName(new_stats)
+    return (cards.join(books, "account_num", "left_semi").select("card_num")
+            .unionByName(new_cards.select("card_num")).select(F.trim("card_num").alias("card_num")).distinct())
+
+
+def kept_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame, blacklist: DataFrame,
+                  run_ts) -> DataFrame:
+    """Profiles that both reports read, stamped with the run (see ``schemas.CARD_PROFILE``)."""
+    return (card_profiles(cards, accounts, clients, blacklist, mark_known=True)
+            .select("card_num", "passport", "fio", "phone", "known", "_vt", "_ct", "_entry",
+                    run_stamp(run_ts).alias("run_ts")))
+
+
+def latest_profiles(profiles: DataFrame) -> DataFrame:
+    """Each card's rows of the latest run that wrote any: those replace all earlier ones, whose persons may be others."""
+    last = F.max("run_ts").over(Window.partitionBy("card_num"))
+    return profiles.withColumn("_last", last).where(F.col("run_ts") == F.col("_last")).drop("_last")
+
+
+def candidates(stats: DataFrame, profiles: DataFrame, event_type: str) -> DataFrame:
+    """Distinct default-mode candidates of a report from merged statistics and kept profiles."""
+    if event_type == EVENT_PASSPORT:
+        held = profiles.where(F.col("known") & (F.col("_vt").isNotNull() | F.col("_entry").isNotNull()))
+        return distinct_candidates(passport_candidates(stats.join(held, "card_num"), DEFAULT))
+    held = profiles.where(F.col("_ct").isNotNull())
+    return distinct_candidates(contract_candidates(stats.join(held, "card_num"), DEFAULT))
 
 
 def run_reports(trans: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,

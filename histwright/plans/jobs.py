@@ -19,7 +19,7 @@ from ..functions.timefn import run_stamp, stamp_text
 from ..operators import dims_type1 as d1
 from ..operators import dims_type2 as d2
 from ..operators import facts, meta, reports
-from ..schemas import DIMS, TABLES, META
+from ..schemas import DIMS, EVENT_CONTRACT, EVENT_PASSPORT, META, TABLES, card_bucket, event_year
 from ..sources import staging
 from .publish import PartlyLoadedError, Run, State, current, start
 
@@ -135,7 +135,7 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
     staging. Staged rows without a key go to the dimension's quarantine table.
 
     Default-mode reports look at the run's own operations and at cards whose profile the run
-    changed (``reports.affected_statistics``), not at all operations ever loaded;
+    changed (``incremental_reports``), not at all operations ever loaded;
     ``full_reports`` recomputes them from everything, with the same result.
     """
     run_ts = stamp_text(run_ts)
@@ -171,13 +171,11 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
 
     writes.append(new_facts)
     _run_all(writes)
-    cards, accounts, clients = (run.read(f"dim_{d}_hist") for d in ("cards", "accounts", "clients"))
-    stats, prior = run.read("fact_card_day_stats"), state.read("rep_fraud")
     if compat == d2.DEFAULT and not full_reports:
-        stats = reports.affected_statistics(
-            state.read("fact_card_day_stats"), run.read_new("fact_card_day_stats"), cards, accounts, clients,
-            *(since(run.read_new(f"dim_{d}_hist"), run_ts) for d in ("cards", "accounts", "clients")),
-            run.read_new("fact_passport_blacklist"))
+        incremental_reports(run, run_ts)
+        return run.commit()
+    cards, accounts, clients = (run.read(f"dim_{d}_hist") for d in HOLDERS)
+    stats, prior = run.read("fact_card_day_stats"), state.read("rep_fraud")
     columns = TABLES["rep_fraud"].fieldNames()
     # The passport rows are written first; the legacy contract report reads them back as reported.
     run.append("rep_fraud", reports.passport_events(
@@ -186,9 +184,69 @@ def run_type2_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
     seen = run.read("rep_fraud") if compat == d2.LEGACY else prior
     run.append("rep_fraud", reports.contract_events(
         None, cards, accounts, clients, seen, run_ts, compat, stats=stats).select(*columns), "contract")
+    # The kept profiles are of an earlier run now: the next incremental run builds them anew.
+    run.drop("card_profile")
     return run.commit()
 
 
+#: Dimensions on the way from a card to its holder.
+HOLDERS = ("cards", "accounts", "clients")
+
+
+def _values(df: DataFrame, column) -> list[int]:
+    """Distinct partition numbers (at most as many as there are buckets)."""
+    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+
+
+def incremental_reports(run: Run, run_ts: str) -> None:
+    """Both default-mode reports from the kept state, of which only what the run touches is read.
+
+    Statistics and profiles are stored in hash buckets of the card. The run's own operations meet the kept
+    profiles of their buckets. Earlier statistics matter only for cards whose profile the run changed: their
+    buckets alone are read, and their profiles are worked out anew from the histories and replace the kept
+    ones. On a day without changes no earlier statistics and no history are read at all. The candidates
+    are written first; of the earlier report rows then only their years' folders and days are read.
+    """
+    state = run.state
+    hist = {d: run.read(f"dim_{d}_hist") for d in HOLDERS}
+    listed, new = run.read("fact_passport_blacklist"), run.read_new("fact_card_day_stats")
+    if not state.segments("card_profile"):  # the first run, or one after a full report
+        run.append("card_profile", reports.kept_profiles(*hist.values(), listed, run_ts), "reports")
+        stats = run.read("fact_card_day_stats")
+    else:
+        changed = [since(run.read_new(f"dim_{d}_hist"), run_ts) for d in HOLDERS]
+        entries = run.read_new("fact_passport_blacklist")
+        stats = new
+        some = entries.select(F.lit(1))
+        for df in changed:
+            some = some.union(df.select(F.lit(1)))
+        if not some.isEmpty():
+            held = run.store("affected", reports.affected_cards(*hist.values(), *changed, entries))
+            buckets = _values(held, card_bucket())
+            trimmed = hist["cards"].withColumn("_card", F.trim("card_num"))
+            cards = trimmed.join(held.select(F.col("card_num").alias("_card")), "_card", "left_semi").drop("_card")
+            run.append("card_profile", reports.kept_profiles(cards, hist["accounts"], hist["clients"], listed, run_ts),
+                       "reports")
+            earlier = (state.scan("fact_card_day_stats").where(F.col("bucket").isin(buckets)).drop("bucket")
+                       .join(held, "card_num", "left_semi"))
+            stats = earlier.unionByName(new)
+    merged = run.store("statistics", reports.merge_statistics(stats))
+    profiles = run.now().scan("card_profile").where(F.col("bucket").isin(_values(merged, card_bucket())))
+    profiles = reports.latest_profiles(profiles.drop("bucket"))
+    columns = TABLES["rep_fraud"].fieldNames()
+
+    def report(event_type: str, part: str) -> None:
+        found = run.store(f"candidates_{part}", reports.candidates(merged, profiles, event_type))
+        # The years choose folders, the first and last day the files and row groups in them.
+        days = found.agg(F.collect_set(event_year()), F.min("event_dt"), F.max("event_dt")).first()
+        prior = state.scan("rep_fraud").where(F.col("event_year").isin(sorted(days[0])))
+        if days[0]:
+            prior = prior.where(F.col("event_dt").between(days[1], days[2]))
+        run.append("rep_fraud", reports.unreported(found, prior, event_type, run_ts).select(*columns), part)
+
+    _run_all([lambda: report(EVENT_PASSPORT, "passport"), lambda: report(EVENT_CONTRACT, "contract")])
+
+
 def run_type1_day(spark: SparkSession, root: str, day: DayInputs, run_ts,
                   skip_loaded_files: bool = True) -> State:
     """One day of the insert-only job: new keys, all facts, source-based reports."""

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import LEDGER, TABLES, empty
+from ..schemas import LEDGER, PARTITIONED, TABLES, empty
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -72,11 +72,21 @@ class State:
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Current rows of ``table`` (empty with its schema when never written)."""
         schema = schema or (LEDGER if table == LOADED else TABLES[table])
+        return self.scan(table, schema).select(*schema.fieldNames())
+
+    def scan(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """As :meth:`read`, with the column that a partitioned table is stored by: a filter on
+        it leaves folders unread."""
+        schema = schema or (LEDGER if table == LOADED else TABLES[table])
         paths = [p for p in self.segments(table)
                  if p not in self.pending or has_data(self.spark, p)]
+        if table not in PARTITIONED:
+            return self.spark.read.schema(schema).parquet(*paths) if paths else empty(self.spark, schema)
+        by = T.StructType([*schema.fields, T.StructField(PARTITIONED[table][0], T.IntegerType())])
         if not paths:
-            return empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+            return empty(self.spark, by)
+        return (self.spark.read.schema(by).option("basePath", f"{self.root}/tables/{table}").parquet(*paths)
+                .select(*by.fieldNames()))
 
     def loaded(self, files) -> set[str]:
         """Which of ``files`` are loaded (at most ``files`` rows reach the driver)."""
@@ -101,7 +111,19 @@ def _names(spark: SparkSession, path: str) -> list[str]:
 
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether a segment folder holds data (a partition with no rows is not written)."""
-    return any(n.endswith(".parquet") for n in _names(spark, path))
+    return any(n.endswith(".parquet") or "=" in n for n in _names(spark, path))
+
+
+def write_segment(table: str, df: DataFrame, path: str) -> None:
+    """Write one segment; a partitioned table by its column, with few files for each value and none that
+    one task has to write alone when a value is frequent."""
+    if table not in PARTITIONED:
+        df.write.parquet(path)
+        return
+    name, by = PARTITIONED[table]
+    days = [c for c in ("event_dt",) if c in df.columns]  # sorted, so their statistics skip what a run doesn't need
+    (df.withColumn(name, by()).hint("rebalance", name).sortWithinPartitions(name, *days)
+     .write.partitionBy(name).parquet(path))
 
 
 def _sequence(spark: SparkSession, root: str) -> list[int]:
@@ -167,8 +189,8 @@ class Run:
 
     def append(self, table: str, df: DataFrame, part: str | None = None) -> str:
         """Add ``df`` as this run's segment (or a named part of it) of an append-only table."""
-        path = self.path(table) + (f"/{part}" if part else "")
-        df.write.parquet(path)
+        path = self.path(table) + (f"/part={part}" if part else "")
+        write_segment(table, df, path)
         with self._lock:
             self.tables[table] = [p for p in self.tables.get(table, []) if p != path] + [path]
             self.written.add(path)
@@ -211,12 +233,12 @@ class Run:
         merge = [p for p in segs if p not in opened]
         if len(merge) < 2:
             return None
-        path = f"{self.path(table)}/compacted"
+        path = f"{self.path(table)}/part=compacted"
         df = State(self.spark, self.root, self.run_id, {table: merge},
                    pending=self.written).read(table)
         if transform is not None:  # e.g. re-merge kept statistics
             df = transform(df)
-        df.write.parquet(path)
+        write_segment(table, df, path)
         with self._lock:
             self.tables[table] = [path] + opened
             self.written.add(path)
@@ -232,14 +254,23 @@ class Run:
 
     def read(self, table: str) -> DataFrame:
         """The table as this run has left it so far (written segments included)."""
-        return State(self.spark, self.root, self.run_id, self.tables,
-                     pending=self.written).read(table)
+        return self.now().read(table)
+
+    def now(self) -> State:
+        """The state as this run has left it so far."""
+        return State(self.spark, self.root, self.run_id, self.tables, pending=self.written)
 
     def read_new(self, table: str) -> DataFrame:
         """Only what this run has written to the table."""
         own = [p for p in self.tables.get(table, []) if p in self.written]
         return State(self.spark, self.root, self.run_id, {table: own}, pending=self.written).read(table)
 
+    def store(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate result to this attempt's own folder and read it from there; no table lists it."""
+        path = f"{self.path('work')}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def commit(self) -> State:
         """Publish the run: the ledger of its files, then one manifest row."""
         if self.files:
@@ -276,9 +307,9 @@ def drop_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
 def compact_tables(spark: SparkSession, root: str, run_id: str, run_ts: str,
                    tables=None) -> State:
     """Publish a maintenance run that merges the segments of ``tables`` (default: all)."""
-    from ..operators.reports import merge_statistics
+    from ..operators.reports import latest_profiles, merge_statistics
 
-    merges = {"fact_card_day_stats": merge_statistics}
+    merges = {"fact_card_day_stats": merge_statistics, "card_profile": latest_profiles}
     run = Run(start(spark, root, run_id), run_id, run_ts)
     for t in tables or list(run.tables):
         if t in TABLES:

@@ -121,6 +121,10 @@ META = _struct(("schema_name", S), ("table_name", S), ("max_update_dt", TS))
 CARD_DAY_STATS = _struct(("card_num", S), ("event_dt", D), ("max_ts", TS), ("max_late_ts", TS),
                          ("has_midnight", T.BooleanType()))
 
+#: What the reports test of a card and a person, as of the run that wrote it; a card's rows of its latest run hold.
+CARD_PROFILE = _struct(("card_num", S), ("passport", S), ("fio", S), ("phone", S), ("known", T.BooleanType()),
+                       ("_vt", TS), ("_ct", TS), ("_entry", TS), ("run_ts", TS))
+
 LEDGER = _struct(("run_id", S), ("file", S))
 
 TABLES: dict[str, T.StructType] = {
@@ -131,6 +135,7 @@ TABLES: dict[str, T.StructType] = {
     "rep_fraud_type1": REPORT_TYPE1,
     "meta": META,
     "fact_card_day_stats": CARD_DAY_STATS,
+    "card_profile": CARD_PROFILE,
     **{f"dim_{d.name}_hist": d.history_schema for d in DIMS.values()},
     **{f"dim_{d.name}": d.type1_schema for d in DIMS.values()},
     # Staged rows without a key, which no dimension can hold.
@@ -138,6 +143,23 @@ TABLES: dict[str, T.StructType] = {
 }
 
 
+#: Hash buckets of the cards in the reports' kept state.
+STATE_BUCKETS = 16
+
+
+def card_bucket(card: str = "card_num") -> Column:
+    return F.pmod(F.xxhash64(card), F.lit(STATE_BUCKETS)).cast("int")
+
+
+def event_year(day: str = "event_dt") -> Column:
+    return F.year(day).cast("int")
+
+
+# Tables stored in folders by a column derived from their rows, so a run reads the folders it needs.
+PARTITIONED = {"fact_card_day_stats": ("bucket", card_bucket), "card_profile": ("bucket", card_bucket),
+               "rep_fraud": ("event_year", event_year)}
+
+
 def empty(spark, schema: T.StructType):
     """An empty frame of ``schema`` (first run of a table).
 
