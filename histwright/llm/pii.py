@@ -5,7 +5,10 @@ dates, ranges for addresses and numbers), ranked as a whole number within all va
 format, permuted there by a keyed Feistel network with cycle walking, and written
 back in its own format. So the pseudonym is valid again, spaces and separators stay, the mapping can be undone
 with the key, and equal values get equal pseudonyms in every document, however they are
-punctuated. Names before an ``@`` and key-like secrets are permuted letter for letter in their classes.
+punctuated (mail names: in whatever case). Names before an ``@`` and key-like secrets are permuted letter for letter in their classes.
+
+Every pattern starts at a border and reads its run once, and long names and secrets are permuted in blocks of
+``BLOCK`` characters, so a text of one unbroken run of any length takes linear time.
 
 One scan with no shuffle; texts without digits or marks of a value skip the search.
 
@@ -80,14 +83,24 @@ def _fill(shape: str, digits: str) -> str:
     return re.sub(r"\d", lambda _: next(left), shape)
 
 
-def _classes(text: str, p: Permute, kind: str) -> str:
-    """Letters and digits permuted within their classes, all else in place."""
+#: Characters permuted as one whole number; longer values are permuted in blocks of so many.
+BLOCK = 256
+
+
+def _classes(text: str, p: Permute, kind: str, fold: bool = False) -> str:
+    """Letters and digits permuted within their classes, all else in place; block by block, so any length
+    takes linear time. ``fold``: letters that differ in case alone get the same letters, in their own case."""
+    blocks = [text[i:i + BLOCK] for i in range(0, len(text), BLOCK)]
+    return "".join(_block(b, p, kind if not i else f"{kind}:{i}", fold) for i, b in enumerate(blocks))
+
+
+def _block(text: str, p: Permute, kind: str, fold: bool) -> str:
     radix = [10 if c in "0123456789" else 26 if "a" <= c <= "z" or "A" <= c <= "Z" else 1 for c in text]
     size, x = 1, 0
     for c, r in zip(text, radix):
         size *= r
         x = x * r + (int(c) if r == 10 else (ord(c) | 32) - 97 if r == 26 else 0)
-    shape = "".join("0" if r == 10 else "a" if c.islower() else "A" if r == 26 else c
+    shape = "".join("0" if r == 10 else "a" if c.islower() or fold and r == 26 else "A" if r == 26 else c
                     for c, r in zip(text, radix))
     x = p(f"{kind}:{shape}", size, x)
     out = []
@@ -176,7 +189,7 @@ def date(m: str, p: Permute) -> str | None:
 
 def email(m: str, p: Permute) -> str | None:
     local, _, domain = m.partition("@")
-    return f"{_classes(local, p, f'email:{domain.lower()}')}@{domain}"
+    return f"{_classes(local, p, f'email:{domain.lower()}', fold=True)}@{domain}"
 
 
 def secret(m: str, p: Permute) -> str | None:
@@ -185,7 +198,8 @@ def secret(m: str, p: Permute) -> str | None:
 
 
 FORMATS: dict[str, tuple[str, Callable[[str, Permute], str | None]]] = {
-    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", email),
+    # It starts where its run of characters starts, and gives none back: a long run is read once.
+    "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", email),
     "secret": (r"\bAKIA[0-9A-Z]{16}\b|\b(?:password|passwd|secret|token|api_key)\s*[=:]\s*[\"']?[A-Za-z0-9+/_-]{8,}",
                secret),
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b", iban),
