@@ -13,8 +13,10 @@ are linked when ``100 * |A & B| >= 75 * |A | B|``; a document's group is its con
    Star pairs are confirmed on full sets, and confirmed pairs grouped.
 4. Members of buckets that still hold different groups are joined exactly: a set's elements are
    ordered from rare to frequent among these members, and two linked sets share an element
-   in the first quarter of both, with enough elements after it on both sides. Such
-   pairs of different groups are confirmed on full sets too, so no link that the
+   in the first quarter of both, with enough elements after it on both sides. Elements of one
+   group alone are left out. Of the others, first one member of each group is compared with one of the
+   element's smallest group (linear), which joins the groups that belong together; then all such
+   pairs of groups that are still apart are confirmed on full sets, so no link that the
    bands found is lost, and neither pairs inside a group nor all pairs of a bucket are made.
 
 Sets travel only for documents that share a bucket. Hot keys: bucket minima are aggregated before
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textnum as tn
@@ -212,11 +214,17 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
         .where("a < b").select("doc_id"), "doc_id", "left_semi").select(
         F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     found = star.where(linked).select("u", "v").unionByName(tied)
-    first = components(found)
-
-    rest = overlaps(open_pairs(buckets, first, sets), sets).where(linked).select("u", "v")
-    rest = materialize(rest, "smh-rest")
-    groups = components(found.unionByName(rest)) if rest.take(1) else first
+    groups = components(found)
+
+    # First one pair for each element and group, so groups that belong together are one before members are paired.
+    prefix = prefixes(buckets, groups, sets)
+    for pairs in (root_stars, open_pairs):
+        more = materialize(overlaps(pairs(prefix), sets).where(linked).select("u", "v"), "smh-more")
+        if more.take(1):
+            found = found.unionByName(more)
+            groups = components(found)
+            prefix = (prefix.drop("root").join(groups.select(F.col("node").alias("u"), "root"), "u", "left")
+                      .withColumn("root", F.coalesce("root", "u")))
 
     by_doc = (member.groupBy("doc_id").agg(F.min("rep").alias("node"))
               .join(groups, "node", "left")
@@ -243,11 +251,10 @@ def set_elements(sets: DataFrame) -> DataFrame:
         run, "u long, root long, n long, sid long, e long")
 
 
-def open_pairs(buckets: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v) of different groups that can be linked, among members of buckets with several groups.
+def prefixes(buckets: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, root, n, e, at: the first elements (rare ones first) of the members of buckets with several groups.
 
-    Prefix and positional filters of exact set joins: with elements in one global order, a
-    pair's first common element stands at i and j, and at most ``min(n_u - i, n_v - j)`` are common.
+    With elements in one global order, a linked pair's first common element stands in both members' first quarter.
     """
     held = (buckets.select("key", "u").join(groups.select(F.col("node").alias("u"), "root"), "u", "left")
             .withColumn("root", F.coalesce("root", "u")))
@@ -259,11 +266,39 @@ def open_pairs(buckets: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFr
     one = Window.partitionBy("u", "sid")
     # Elements of no other member come first; only their number matters.
     place = F.col("n") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("df", "e")) - 1
-    prefix = materialize(el.join(common, "e").withColumn("at", place)
-                         .where(F.col("at") * 100 <= F.col("n") * (100 - SHARE))
-                         .select("u", "root", "n", "e", "at"), "smh-prefix")
-    a, b = prefix.alias("a"), prefix.alias("b")
+    return materialize(el.join(common, "e").withColumn("at", place)
+                       .where(F.col("at") * 100 <= F.col("n") * (100 - SHARE))
+                       .select("u", "root", "n", "e", "at"), "smh-prefix")
+
+
+def apart(prefix: DataFrame) -> DataFrame:
+    """The rows whose element members of several groups have. An element of one group alone, however
+    large that is, links nothing that isn't linked already."""
+    several = (prefix.groupBy("e").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+               .where("least < most").select("e"))
+    return prefix.join(several, "e", "left_semi")
+
+
+def _may_link() -> Column:
+    """Of rows a and b of one element: at most ``min(n_a - at_a, n_b - at_b)`` elements are common."""
     most = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    return (a.join(b, (F.col("a.e") == F.col("b.e")) & (F.col("a.root") < F.col("b.root"))
-                   & (most * 100 >= (F.col("a.n") + F.col("b.n") - most) * SHARE))
+    return most * 100 >= (F.col("a.n") + F.col("b.n") - most) * SHARE
+
+
+def root_stars(prefix: DataFrame) -> DataFrame:
+    """(u, v): of every element, one member of each group and one of its smallest group; linear in (element, group)."""
+    rest = F.struct("u", "n", "at")
+    one = apart(prefix).groupBy("e", "root").agg(F.min(rest).alias("x"))
+    hub = one.groupBy("e").agg(F.min(F.struct("root", "x")).alias("h"))
+    a = one.select("e", "root", "x.*").alias("a")
+    b = hub.select("e", F.col("h.root").alias("root"), "h.x.*").alias("b")
+    return (a.join(b, (F.col("a.e") == F.col("b.e")) & (F.col("a.root") > F.col("b.root")) & _may_link())
+            .select(F.col("a.u").alias("u"), F.col("b.u").alias("v")).distinct())
+
+
+def open_pairs(prefix: DataFrame) -> DataFrame:
+    """(u, v) of different groups that can be linked: prefix and positional filters of exact set joins."""
+    left = apart(prefix)
+    a, b = left.alias("a"), left.alias("b")
+    return (a.join(b, (F.col("a.e") == F.col("b.e")) & (F.col("a.root") < F.col("b.root")) & _may_link())
             .select(F.col("a.u").alias("u"), F.col("b.u").alias("v")).distinct())

@@ -141,3 +141,36 @@ def test_one_star_is_dealt_to_many_tasks(spark, monkeypatch):
     links = spark.createDataFrame([(i, 0) for i in range(1, 2001)], "u long, v long")
     assert {tuple(r) for r in cc.components(links).collect()} == {(i, 0) for i in range(1, 2001)}
     assert len(most) > 1 and max(most) <= 2 * 200
+
+
+def _hot_group(spark, n):
+    """One group of near copies (chained to one component) with outsiders of other groups that share its buckets."""
+    base = [f"base{i}" for i in range(60)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        words[5 + i % 50] = f"own{i}"  # one word of its own: similar to the rest of the group
+        rows.append((i, " ".join(words)))
+    for i in range(n // 20):  # half of the words are the group's
+        rows.append((n + i, " ".join(base[:35] + [f"out{i}w{k}" for k in range(25)])))
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+
+
+def test_pairs_of_a_hot_group_grow_with_its_size(spark, monkeypatch):
+    """What is compared grows in proportion to the group, not with its square."""
+    from histwright.llm import superminhash
+
+    compared = []
+    plain = superminhash.overlaps
+
+    def counted(pairs, sets):
+        compared[-1] += pairs.count()
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(superminhash, "overlaps", counted)
+    for n in (500, 2000):
+        compared.append(0)
+        got = superminhash.near_duplicates(_hot_group(spark, n), bands=60, rows=2)
+        assert got.where(f"doc_id < {n}").select("component_id").distinct().count() == 1
+        assert got.where(f"doc_id >= {n} and not kept").count() == 0
+    assert compared[1] < 6 * compared[0], compared
