@@ -7,9 +7,9 @@ merged by the shuffle, so a line that a third of all documents carry moves one s
 task. Lines whose estimate is within ``band`` of the threshold get an exact distinct
 count; only these lines' sites are shuffled for it.
 
-A document that would lose more than ``max_share`` of its characters is a copy of another document
-rather than a page with boilerplate: it is left whole, for the near-duplicate operator. With ``max_share``
-None the share doesn't matter: only a document all of whose non-blank lines are boilerplate is left whole.
+Boilerplate lines go whatever share of a document they make. Only a document all of whose non-blank lines are
+boilerplate is left whole: it has no line of its own, so it is a copy for the near-duplicate operator rather
+than a page around its boilerplate.
 
 Line hashes are two independent 64-bit hashes, so at 10**12 distinct lines none is
 expected to be taken for another.
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MIN_SITES, MAX_SHARE = 10, 0.5
+MIN_SITES = 10
 LG_K = 12
 
 
@@ -33,13 +33,13 @@ def _lines(text: Column) -> Column:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, source, pos, chars, h1, h2 of every line that is not blank."""
+    """doc_id, row_key, source, pos, h1, h2 of every line that is not blank."""
     text = F.coalesce("text", F.lit(""))
     bare = F.btrim("line", F.lit(" \t\r"))
     return (docs.select("doc_id", F.xxhash64(text).alias("row_key"), "source",
                         F.posexplode(_lines(text)).alias("pos", "line"))
             .where(bare != "")
-            .select("doc_id", "row_key", "source", "pos", F.length("line").alias("chars"),
+            .select("doc_id", "row_key", "source", "pos",
                     F.xxhash64(bare).alias("h1"), F.xxhash64(F.lit(1), bare).alias("h2")))
 
 
@@ -57,14 +57,12 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
         exact.select("h1", "h2"))
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE,
-                       lg_k: int = LG_K) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and n_lines, n_removed, left_whole."""
     lines = document_lines(docs.select("doc_id", "source", "text"))
     drop = (lines.join(boilerplate(lines, min_sites, lg_k), ["h1", "h2"], "left_semi")
             .groupBy("doc_id", "row_key")
-            .agg(F.collect_set("pos").alias("drop"), F.sum("chars").alias("chars"))
-            # Repeated rows give their lines more than once.
+            .agg(F.collect_set("pos").alias("drop"))  # a set, as repeated rows give their lines more than once
             .select(F.col("doc_id").alias("drop_id"), F.col("row_key").alias("drop_key"), "drop"))
     added = ("n_lines", "n_removed", "left_whole")
     kept = [c for c in docs.columns if c not in added]
@@ -73,10 +71,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: f
     text = F.coalesce("r.text", F.lit(""))
     own = own.select("r", F.xxhash64(text).alias("key"), _lines(text).alias("all_lines"))
     same = F.col("r.doc_id").eqNullSafe(F.col("drop_id")) & (F.col("key") == F.col("drop_key"))
-    lost = F.aggregate("drop", F.lit(0), lambda a, p: a + F.length(F.get(F.col("all_lines"), p)))
     own_lines = F.filter("all_lines", lambda x: F.btrim(x, F.lit(" \t\r")) != "")
-    copy = (F.size("drop") == F.size(own_lines)) if max_share is None else (lost > F.length(text) * max_share)
-    whole = F.coalesce(copy, F.lit(False))
+    whole = F.coalesce(F.size("drop") == F.size(own_lines), F.lit(False))
     removed = F.when(F.col("left_whole") | F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop"))
     rest = F.array_join(F.filter("all_lines", lambda _, i: ~F.array_contains("drop", i)), "\n")
     done = (own.join(drop, same, "left").withColumn("left_whole", whole)

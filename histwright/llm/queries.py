@@ -180,13 +180,13 @@ spread AS (
 flagged AS (SELECT l.*, (bare IN (SELECT bare FROM spread)) AS hit FROM l),
 docs AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_hit,
-         coalesce(sum(length(line)) FILTER (hit), 0) AS lost, sum(length(line)) + count(*) - 1 AS n,
+         count(*) FILTER (hit) > 0 AND bool_and(hit) FILTER (bare <> '') AS left_whole,
          coalesce(string_agg(line, chr(10) ORDER BY pos), '') AS whole,
          coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit), '') AS rest
   FROM flagged GROUP BY doc_id)
-SELECT doc_id, n_lines, CASE WHEN lost > n * 0.5 THEN 0 ELSE n_hit END AS n_removed, lost > n * 0.5 AS left_whole,
+SELECT doc_id, n_lines, CASE WHEN left_whole THEN 0 ELSE n_hit END AS n_removed, left_whole,
        CAST(length(t) AS BIGINT) AS n_chars, sha256(t) AS text_sha256
-FROM (SELECT *, CASE WHEN lost > n * 0.5 THEN whole ELSE rest END AS t FROM docs)
+FROM (SELECT *, CASE WHEN left_whole THEN whole ELSE rest END AS t FROM docs)
 """
 
 OP3_SQL = r"""

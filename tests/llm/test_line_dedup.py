@@ -8,7 +8,7 @@ import corpus_pipeline
 from histwright.llm import line_dedup
 
 
-def brute(rows, min_sites, max_share):
+def brute(rows, min_sites):
     sites = {}
     for _, text, source in rows:
         for line in (text or "").split("\n"):
@@ -18,8 +18,7 @@ def brute(rows, min_sites, max_share):
     for doc_id, text, _ in rows:
         lines = (text or "").split("\n")
         hit = [len(sites.get(x.strip(" \t\r"), ())) >= min_sites for x in lines]
-        lost = sum(len(x) for x, h in zip(lines, hit) if h)
-        whole = any(hit) and lost > len(text or "") * max_share
+        whole = any(hit) and all(h for x, h in zip(lines, hit) if x.strip(" \t\r"))
         n = 0 if whole else sum(hit)
         out.append((doc_id, "\n".join(x for x, h in zip(lines, hit) if not h) if n else text, len(lines), n, whole))
     return out
@@ -39,7 +38,7 @@ def test_equals_plain_count(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
     got = line_dedup.remove_boilerplate(df, min_sites=8)
     assert sorted(map(tuple, got.select("doc_id", "text", "n_lines", "n_removed", "left_whole").collect())) \
-        == sorted(brute(rows, 8, 0.5))
+        == sorted(brute(rows, 8))
 
 
 def test_hot_line_and_coarse_sketch_are_exact(spark):
@@ -49,7 +48,7 @@ def test_hot_line_and_coarse_sketch_are_exact(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = line_dedup.remove_boilerplate(df, min_sites=4, lg_k=4)
     assert sorted(map(tuple, got.select("doc_id", "text", "n_lines", "n_removed", "left_whole").collect())) \
-        == sorted(brute(rows, 4, 0.5))
+        == sorted(brute(rows, 4))
 
 
 def test_awkward_rows(spark):
@@ -58,15 +57,13 @@ def test_awkward_rows(spark):
     assert got.columns == [*df.columns, "n_lines", "n_removed", "left_whole"]
     key = lambda r: repr(tuple(r))
     texts = sorted(((r.doc_id, r.text) for r in got.collect()), key=key)
-    # Copies lose more than half of their text and are left whole, so nothing changes here.
+    # Copies have no line of their own and are left whole, so nothing changes here.
     assert texts == sorted(((r[0], r[1]) for r in odd.rows()), key=key)
-    cut = line_dedup.remove_boilerplate(df, min_sites=2, max_share=1.0).collect()
-    assert {r.text for r in cut if r.doc_id in (7, 8)} == {""}
-    assert {r.text for r in cut if r.doc_id == 4} == {None}
+    assert {r.doc_id for r in got.where("left_whole").collect()} == {1, 2, 7, 8}
     assert line_dedup.remove_boilerplate(odd.none(spark)).count() == 0
 
 
-def test_short_pages_lose_their_footer_in_the_pipeline(spark):
+def test_short_pages_lose_their_footer(spark):
     footer = "a footer line that is longer than all the rest of the page"
     rows = [(d, f"own {d}\n\n{footer}\t", "en", f"s{d % 12}", 0) for d in range(24)]
     rows += [(100 + d, f"{footer}\n \nsecond shared line of all copies", "en", f"s{d}", 0) for d in range(12)]
