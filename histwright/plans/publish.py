@@ -14,9 +14,10 @@ so a run rewrites only current versions, not the whole history. Small tables
 
 Every attempt writes to folders of its own, so nothing that a manifest lists is
 ever overwritten: a failed run or re-run leaves only unreferenced folders. The
-manifest is written last, through Spark's file commit protocol, to a folder that must not exist
-yet: readers never see a half-published run, and of two runs that start from the
-same state only one can publish. A manifest folder without its ``_SUCCESS`` mark
+manifest is written last, to a folder of another name, and becomes visible by one rename that fails when
+its name is taken: readers never see a half-published run, and of two runs that start from the
+same state exactly one publishes (``AlreadyPublishedError`` for the other). The rename is atomic on
+local disks and HDFS; an object store without atomic renames needs one writer at a time. A manifest folder without its ``_SUCCESS`` mark
 is an unfinished publish and counts as not there; any other read error is raised.
 
 Runs must come in the order of their run times: a run earlier than the published
@@ -26,10 +27,13 @@ The drop files of all runs are a table of their own (``loaded_files``).
 
 from __future__ import annotations
 
+import errno
+import os
 import threading
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +53,10 @@ class LateRunError(ValueError):
     """A run earlier than the published state, or one that is published already."""
 
 
+class AlreadyPublishedError(RuntimeError):
+    """Another run has published from the same state meanwhile."""
+
+
 class PartlyLoadedError(ValueError):
     """Some, but not all, of a run's drop files are loaded."""
 
@@ -136,6 +144,30 @@ def _manifest_path(root: str, seq: int) -> str:
     return f"{root}/_manifests/m-{seq:09d}"
 
 
+def _make_visible(spark: SparkSession, made: str, path: str) -> None:
+    """Give a written folder its name in one step, which fails when the name is taken."""
+    fs, src = _files(spark, made)
+    dst = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if fs.getUri().getScheme() == "file":
+        try:
+            os.rename(src.toUri().getPath(), dst.toUri().getPath())  # refused onto a folder that holds files
+        except OSError as e:
+            if e.errno in (errno.ENOTEMPTY, errno.EEXIST):
+                raise AlreadyPublishedError(path) from e
+            raise
+        return
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.valueOf("NONE")
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(src, dst, options)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            raise AlreadyPublishedError(path) from e
+        raise
+
+
 def current(spark: SparkSession, root: str, before: str | None = None) -> State:
     """Latest published state (optionally the latest of a run strictly before ``before``)."""
     fs, top = _files(spark, root)
@@ -281,8 +313,9 @@ class Run:
                   for k, v in self.tables.items()}
         seq = self._after + 1
         row = [(seq, self.run_id, self.run_ts, tables)]
-        (self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists")
-         .json(_manifest_path(self.root, seq)))
+        made = f"{self.root}/_manifests/.{self.run_id}-{self.attempt}"
+        self.spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.json(made)
+        _make_visible(self.spark, made, _manifest_path(self.root, seq))
         return State(self.spark, self.root, self.run_id, tables, seq)
 
 

@@ -302,3 +302,29 @@ def test_surplus_columns_are_an_error(spark):
     fact = spark.createDataFrame([], "a int, b int")
     with pytest.raises(ValueError, match="do not fit"):
         facts.append_all(fact, spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"))
+
+
+def test_of_two_runs_from_one_state_exactly_one_publishes(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = scratch_dir("wh-")
+    cards = fx.cards(spark, SF, 1).limit(5).selectExpr(
+        "cast('2021-03-01' as timestamp_ntz) as entry_dt", "card_num as passport_num")
+    for n in range(1, 7):
+        state = publish.current(spark, root)
+        runs = [publish.Run(state, f"2021030{n}T0{h}0000", f"2021-03-0{n} 0{h}:00:00") for h in (1, 2)]
+        for run in runs:
+            run.append("fact_passport_blacklist", cards)
+
+        def commit(run):
+            try:
+                return run.commit()
+            except publish.AlreadyPublishedError:
+                return None
+
+        with ThreadPoolExecutor(2) as pool:
+            done = [x for x in pool.map(commit, runs) if x is not None]
+        assert len(done) == 1
+        now = publish.current(spark, root)
+        assert (now.seq, now.run_id) == (n, done[0].run_id)
+        assert now.read("fact_passport_blacklist").count() == 5 * n

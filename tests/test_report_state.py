@@ -47,7 +47,7 @@ def rows_by_manifest(folder):
         e = json.loads(line)
         if e["Event"] == "SparkListenerTaskEnd":
             now += (e.get("Task Metrics") or {}).get("Input Metrics", {}).get("Records Read", 0)
-        elif "_manifests/m-" in line and e["Event"].endswith("SparkListenerSQLExecutionStart") and "Insert" in line:
+        elif "/_manifests/" in line and e["Event"].endswith("SparkListenerSQLExecutionStart") and "Insert" in line:
             out.append(now)
             now = 0
     return out
