@@ -22,7 +22,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Bytes of units joined for one call.
 JOIN_BYTES = 4096
 #: Distinct units, and bytes of them, that a worker remembers before it starts anew.
-REMEMBER, REMEMBER_BYTES = 600_000, 24 << 20
+REMEMBER, REMEMBER_BYTES = 250_000, 8 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
@@ -83,10 +83,7 @@ class ByteLevel:
     """Ids by a byte-level BPE file; ``special``: its special tokens' strings are those tokens."""
 
     def __init__(self, path: str, special: bool):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not special
+        self.path, self.keep_special = path, special
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, before = spec["model"], spec["pre_tokenizer"] or {}
@@ -107,6 +104,15 @@ class ByteLevel:
                      and not any(t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"]))
         self.ranked = self._ranks(model, added, numbers) if self.cuts else None
 
+    @functools.cached_property
+    def tokenizer(self):
+        """The tokenizer itself; read only when a unit needs it, as most go by rank."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        found = Tokenizer.from_file(self.path)
+        found.encode_special_tokens = not self.keep_special
+        return found
+
     def _ranks(self, model: dict, added: set, numbers: dict):
         """The same vocabulary merged by rank, if its ids stand in the order of its merges."""
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -119,10 +125,10 @@ class ByteLevel:
                                                   if t not in added})
 
     def plain(self, units: list[str]) -> list[int]:
-        """The units that may be joined to others and merged by rank."""
+        """The units that are merged by rank: no special token, and only characters whose class has long been settled."""
         if self.ranked is None:
             return []
-        found = [i for i, u in enumerate(units) if u[0] in " \n" and (u.isascii() or max(u) < "\u0800")]
+        found = [i for i, u in enumerate(units) if u.isascii() or max(u) < "\u0800"]
         for t in self.special:
             if t in "".join(units):
                 found = [i for i in found if t not in units[i]]
@@ -135,7 +141,8 @@ class ByteLevel:
     def units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each unit)."""
         words = [u.decode() for u in units]
-        plain = self.plain(words)
+        ranked = self.plain(words)
+        plain = [i for i in ranked if words[i][0] in " \n"]  # these may be joined
         own = np.ones(len(units), bool)
         own[plain] = False
         other = np.flatnonzero(own).tolist()
@@ -153,7 +160,11 @@ class ByteLevel:
             count[plain] = np.diff(np.concatenate([[0], stop + 1]))
         if not other:
             return ids.astype(np.uint32), count
-        found = self.texts([words[i] for i in other])
+        alone = set(ranked)
+        whole = [i for i in other if i not in alone]
+        by_tokenizer = dict(zip(whole, self.texts([words[i] for i in whole]))) if whole else {}
+        found = [self.ranked.encode_to_numpy(words[i], disallowed_special=()) if i in alone else by_tokenizer[i]
+                 for i in other]
         count[other] = [len(x) for x in found]
         out, to = np.empty(count.sum(), np.uint32), np.concatenate([[0], np.cumsum(count)])
         out[np.repeat(~own, count)] = ids
