@@ -14,7 +14,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_all_registered():
     names = set(entry.queries())
-    assert {x.split("_")[0] for x in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {x.split("_")[0] for x in queries.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.queries()) | {"pipeline"} <= names
     assert [name for name, _ in pipeline.STAGES] == ["quality", "line_dedup", "near_duplicates", "decontamination",
                                                     "packing"]
