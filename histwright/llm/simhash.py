@@ -110,7 +110,11 @@ def near_counts(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blo
         return df.select("*", F.inline(F.array(*[F.struct(F.lit(n).alias("table"), key(t).alias("key"))
                                                  for n, t in enumerate(tables)])))
 
-    q = keyed(queries.select(F.col("f0").alias("q0"), F.col("f1").alias("q1")).distinct(), "q")
+    # Neither the planner nor adaptive execution knows how many keys a query becomes: a number of partitions is set,
+    # so that the few query rows are not put into one, and the join never broadcasts them.
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q = keyed(queries.select(F.col("f0").alias("q0"), F.col("f1").alias("q1"))
+              .repartition(tasks, "q0", "q1").distinct(), "q")
     if flips:
         masks = F.expr("array(" + ", ".join(f"{m}L" for m in _masks(width, flips)) + ")")
         q = q.select("q0", "q1", "table", "key", F.explode(masks).alias("mask")).select(
@@ -128,7 +132,7 @@ def near_counts(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blo
         earlier = reduce(lambda a, b: a | b, met[:n], F.lit(False))
         first = first | ((F.col("table") == n) & m & ~earlier)
     pair = hamming([F.col("q0"), F.col("q1")], [F.col("p0"), F.col("p1")])
-    return (q.join(p, ["table", "key"]).where(first & (pair <= radius))
+    return (q.join(p.hint("merge"), ["table", "key"]).where(first & (pair <= radius))
             .groupBy(F.col("q0").alias("f0"), F.col("q1").alias("f1")).agg(F.sum("n").alias("n_within")))
 
 
