@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from ..functions import row_changed, run_stamp
 from ..operators import dims_type1 as d1
 from ..operators import dims_type2 as d2
-from ..operators import facts, meta, reports
+from ..operators import facts, meta, reports, reports_at
 from ..schemas import DIMS, TS, empty
 from ..sources import fixtures as fx
 from ..sources import staging
 from . import day as whole_day
 from .jobs import DayInputs
-from .oracle import DAY_CARDS, TYPE1_REPORT_TS
+from .oracle import DAY_CARDS, POINT_STAMPS, TYPE1_REPORT_TS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -245,6 +245,24 @@ def q_report_padded_cards(spark, sf):
     return _text_times(out)
 
 
+def _report_at(kind: str) -> Query:
+    """A report by the versions in force, over histories whose runs lie among the operations."""
+    def q(spark, sf):
+        hist = {}
+        for dim, days in REPORT_DAYS.items():
+            h = empty(spark, DIMS[dim].history_schema)
+            for day in range(1, days + 1):
+                ts = POINT_STAMPS[day]
+                h = d2.apply_snapshot(h, staging.stamp(fx.snapshot(spark, sf, dim, day), ts), DIMS[dim], ts)
+            hist[dim] = h
+        args = [fx.transactions(spark, sf), hist["cards"], hist["accounts"], hist["clients"]]
+        if kind == "passport":
+            args.append(fx.blacklist(spark, sf))
+        fn = reports_at.passport_events_at if kind == "passport" else reports_at.contract_events_at
+        return _text_times(fn(*args, fx.prior_report(spark, sf), fx.DAY_STAMPS[1]))
+    return q
+
+
 def _report(kind: str, compat: str, multi_day: bool = False) -> Query:
     fn = passport_report if kind == "passport" else contract_report
     return lambda spark, sf: _text_times(fn(spark, sf, compat, multi_day))
@@ -328,6 +346,7 @@ def queries() -> dict[str, Query]:
     for kind in ("passport", "contract"):
         q[f"report_{kind}_events_multi_day"] = _report(kind, reports.DEFAULT, True)
         q[f"report_{kind}_events_multi_day_legacy"] = _report(kind, reports.LEGACY, True)
+        q[f"report_{kind}_events_point_in_time"] = _report_at(kind)
     q["report_padded_cards"] = q_report_padded_cards
     q["day_type1_all_tables"] = _two_days("type1")
     q["day_type2_all_tables"] = _two_days("type2")
