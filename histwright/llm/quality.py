@@ -41,12 +41,12 @@ _C = np.uint32(0x9E3779B1)
 
 
 def _code_points(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points with a line feed after each document, and document starts."""
+    """Code points with a line feed before and after each document, and document starts."""
     data = raw.tobytes()
-    text = "\n".join([data[a:b].decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:])]) + "\n"
+    text = "\n" + "\n".join([data[a:b].decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:])]) + "\n"
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.diff(np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[offs])
-    return cp, np.concatenate([[0], np.cumsum(lengths + 1)])
+    return cp, np.concatenate([[0], np.cumsum(lengths + 1)]) + 1
 
 
 def features(raw: np.ndarray, offs: np.ndarray, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
