@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import row_changed, run_stamp
+from ..operators import dims_late
 from ..operators import dims_type1 as d1
 from ..operators import dims_type2 as d2
 from ..operators import facts, meta, reports, reports_at
@@ -310,6 +311,18 @@ def q_replay_all_dimensions(spark, sf):
     return whole_day.tagged_rows(state)
 
 
+def q_replay_late_day(spark, sf):
+    """The histories of all four dimensions when the second day's snapshot comes after the third's."""
+    state = {}
+    for dim, (first, late, last) in REPLAY_DAYS.items():
+        spec, at = DIMS[dim], _stamps(dim)
+        stg = lambda view, day: staging.stamp(fx.snapshot(spark, sf, dim, view), at[day])  # noqa: B023, E731
+        h = d2.apply_snapshot(empty(spark, spec.history_schema), stg(first, 1), spec, at[1])
+        h = d2.apply_snapshot(h, stg(last, 3), spec, at[3])
+        state[f"dim_{dim}_hist"] = dims_late.apply_late_snapshot(h, stg(late, 2), spec, at[2], at[3])
+    return whole_day.tagged_rows(state)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "stage_transactions_typed": q_stage_transactions_typed,
@@ -352,4 +365,5 @@ def queries() -> dict[str, Query]:
     q["day_type2_all_tables"] = _two_days("type2")
     q["day_type2_all_tables_legacy"] = _two_days("type2", d2.LEGACY)
     q["replay_all_dimensions"] = q_replay_all_dimensions
+    q["replay_late_day"] = q_replay_late_day
     return q
