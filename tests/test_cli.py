@@ -1,8 +1,9 @@
 """Command line daily run on drop files and source tables written from the fixtures."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from histwright.__main__ import file_day, main
+from histwright.__main__ import _drop, file_day, jdbc_options, main, named_function
 from histwright.plans import publish
 from scratch import scratch_dir
 from histwright.sources import fixtures as fx
@@ -37,3 +38,42 @@ def test_run_day_from_files(spark, capsys):
     t = st.read("dim_terminals_hist").select(F.col("effective_from").cast("string")).distinct()
     assert [r[0] for r in t.collect()] == ["2021-03-01 00:00:00"]
     assert file_day("x/terminals_02032021.xlsx") == "2021-03-02 00:00:00"
+
+
+def test_jdbc_sources_are_partitioned_or_allowed():
+    src = "jdbc:postgresql://host/db#bank.cards"
+    with pytest.raises(ValueError, match="one task"):
+        jdbc_options(src, "cards", partitions=["clients=id:1:9:4"])
+    assert jdbc_options(src, "cards", one_task=True) == {"url": "jdbc:postgresql://host/db", "dbtable": "bank.cards"}
+    got = jdbc_options(src, "cards", "me", ["cards=create_dt:2020-01-01 00:00:00:2021-01-01 00:00:00:64"])
+    assert (got["user"], got["partitionColumn"], got["lowerBound"], got["upperBound"], got["numPartitions"]) == (
+        "me", "create_dt", "2020-01-01 00:00:00", "2021-01-01 00:00:00", "64")
+    with pytest.raises(ValueError, match="expected COLUMN"):
+        jdbc_options(src, "cards", partitions=["cards=id:1"])
+
+
+DECODER = '''
+"""Stands for a workbook decoder: the sheet's name, then its rows as text."""
+import io
+import pandas as pd
+
+
+def sheet_of_text(content, sheet):
+    name, _, text = content.decode().partition("\\n")
+    assert name == sheet
+    return pd.read_csv(io.StringIO(text), sep=";", dtype=object)
+'''
+
+
+def test_workbook_drop_with_named_decoder(spark, monkeypatch):
+    d = scratch_dir("cli-")
+    with open(f"{d}/sheet_text.py", "w") as f:
+        f.write(DECODER)
+    monkeypatch.syspath_prepend(d)
+    spark.sparkContext.addPyFile(f"{d}/sheet_text.py")
+    path = f"{d}/terminals_01032021.xlsx"
+    with open(path, "w") as f:
+        f.write("terminals\nid;type;city;address\nP1;ATM;Town;\n")
+    decoder = named_function("sheet_text:sheet_of_text")
+    got = _drop(spark, path, ["terminal_id", "terminal_type", "terminal_city", "terminal_address"], "terminals", decoder)
+    assert [tuple(r) for r in got.collect()] == [("P1", "ATM", "Town", None)]
