@@ -36,6 +36,8 @@ without a passport by name and phone, so such a row is reported once too.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,9 @@ from ..schemas import EVENT_CONTRACT, EVENT_PASSPORT, REASON_CONTRACT, REASON_PA
 DEFAULT = "default"
 LEGACY = "legacy"
 
+#: Whom a report row names.
+PERSON = ("passport", "fio", "phone")
+
 
 # --- type 1 ----------------------------------------------------------------------------------
 
@@ -117,7 +122,7 @@ def card_profiles(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     NULL person. ``mark_known`` adds whether there is a client at all, for profiles that both reports read.
     """
     bounds = ["_vt", "_ct"] + (["_entry"] if blacklist is not None else [])
-    person = ["passport", "fio", "phone"] + (["known"] if mark_known else [])
+    person = [*PERSON] + (["known"] if mark_known else [])
 
     def collapse(df: DataFrame, key: str) -> DataFrame:
         return df.groupBy(key, *person).agg(*[F.min(b).alias(b) for b in bounds])
@@ -148,35 +153,49 @@ def person_key() -> Column:
     return F.coalesce(F.concat(F.lit("P"), F.col("passport")), unknown)
 
 
-def distinct_candidates(cand: DataFrame) -> DataFrame:
-    """One row per (day, person) of the candidates that a report keeps or checks.
+def _distinct_marks(cand: DataFrame, marks: list[str]) -> DataFrame:
+    """One row per (day, person) of the candidates with any of the boolean ``marks``, and which of them it has.
 
     The distinct is a regular aggregate, so duplicates collapse map-side before
     the shuffle (a hot client on one day must not send all its candidate rows
-    to one task); only distinct rows meet the suppression join.
+    to one task); only distinct rows meet the suppression join. The marks travel as bits of
+    one number: frames that read different marks share the aggregate's exchange, as
+    none of them can drop a column of it.
     """
-    return (cand.where(F.col("keep") | F.col("check"))
-            .groupBy("event_dt", "passport", "fio", "phone")
-            .agg(F.bool_or("keep").alias("keep"), F.bool_or("check").alias("check")))
+    bits = functools.reduce(Column.__add__, [F.when(F.col(m), 1 << i).otherwise(0) for i, m in enumerate(marks)])
+    found = (cand.where(functools.reduce(Column.__or__, [F.col(m) for m in marks]))
+             .groupBy("event_dt", *PERSON).agg(F.bit_or(bits).alias("_marks")))
+    return found.select("event_dt", *PERSON, *[(F.col("_marks").bitwiseAND(1 << i) != 0).alias(m)
+                                               for i, m in enumerate(marks)])
+
+
+def distinct_candidates(cand: DataFrame) -> DataFrame:
+    """One row per (day, person) of the candidates that a report keeps or checks."""
+    return _distinct_marks(cand, ["keep", "check"])
 
 
-def unreported(grouped: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str = DEFAULT) -> DataFrame:
+def unreported(grouped: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str = DEFAULT,
+               this_run: DataFrame | None = None) -> DataFrame:
     """The report rows of distinct candidates, without those that earlier rows (``prior``) suppress.
 
     Only earlier rows of the candidates' own days can suppress one, so ``prior`` may be any part that holds those.
+    In legacy mode only rows that are checked and not kept meet the earlier ones, and those of ``this_run`` after them.
     """
-    keys = ["passport", "event_dt"]
     if compat == LEGACY:
-        seen = prior.select(*keys).distinct().withColumn("_seen", F.lit(True))
-        out = grouped.join(seen, keys, "left").where(
-            F.col("keep") | (F.col("check") & F.col("_seen").isNull()))
+        # A missing passport matches nothing. On the earlier rows' side it gets a key of its own instead of
+        # a filter, which would make their plan another than that of the same rows elsewhere in a run.
+        key = F.concat(F.lit("P"), F.col("passport"))
+        checked = grouped.where(~F.col("keep") & F.col("check")).withColumn("_passport", key)
+        for earlier in [prior] + ([this_run] if this_run is not None else []):
+            seen = earlier.select("event_dt", F.coalesce(key, F.lit("N")).alias("_passport"))
+            checked = checked.join(seen, ["event_dt", "_passport"], "left_anti")
+        out = grouped.where("keep").unionByName(checked.select(*grouped.columns))
     else:
         missing = [F.lit(None).cast("string").alias(c) for c in ("fio", "phone") if c not in prior.columns]
         seen = (prior.where(F.col("event_type") == F.lit(event_type)).select("*", *missing)
                 .select("event_dt", person_key().alias("_person")))
         out = grouped.withColumn("_person", person_key()).join(seen, ["event_dt", "_person"], "left_anti")
-    return out.select("event_dt", "passport", "fio", "phone",
-                      F.lit(event_type).alias("event_type"), run_stamp(run_ts).alias("report_dt"))
+    return out.select("event_dt", *PERSON, F.lit(event_type).alias("event_type"), run_stamp(run_ts).alias("report_dt"))
 
 
 def _finish(cand: DataFrame, prior: DataFrame, event_type: str, run_ts, compat: str) -> DataFrame:
@@ -198,36 +217,42 @@ def _no(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def passport_candidates(stats: DataFrame, compat: str) -> DataFrame:
-    """Passport-report candidates from day statistics joined to card profiles."""
+def passport_marks(compat: str) -> tuple[Column, Column]:
+    """(keep, check) of the passport report for day statistics joined to card profiles."""
     expired = _no(F.col("max_ts") > F.col("_vt"))
     if compat == LEGACY:
-        keep = expired | _no(F.col("max_late_ts") >= F.col("_entry"))
-        check = _no(F.col("has_midnight") & (F.col("event_dt").cast(TS) >= F.col("_entry")))
-    else:
-        keep = expired | _no(F.col("max_ts") >= F.col("_entry"))
-        check = F.lit(False)
-    return stats.select("event_dt", "passport", "fio", "phone", keep.alias("keep"),
-                        check.alias("check"))
+        return (expired | _no(F.col("max_late_ts") >= F.col("_entry")),
+                _no(F.col("has_midnight") & (F.col("event_dt").cast(TS) >= F.col("_entry"))))
+    return expired | _no(F.col("max_ts") >= F.col("_entry")), F.lit(False)
+
+
+def contract_marks(compat: str) -> tuple[Column, Column]:
+    """(keep, check) of the contract report for day statistics joined to card profiles."""
+    if compat == LEGACY:
+        return (_no(F.col("max_late_ts") > F.col("_ct")),
+                _no(F.col("has_midnight") & (F.col("event_dt").cast(TS) > F.col("_ct"))))
+    return _no(F.col("max_ts") > F.col("_ct")), F.lit(False)
+
+
+def _candidates(stats: DataFrame, marks: tuple[Column, Column]) -> DataFrame:
+    return stats.select("event_dt", *PERSON, marks[0].alias("keep"), marks[1].alias("check"))
+
+
+def passport_candidates(stats: DataFrame, compat: str) -> DataFrame:
+    """Passport-report candidates from day statistics joined to card profiles."""
+    return _candidates(stats, passport_marks(compat))
 
 
 def contract_candidates(stats: DataFrame, compat: str) -> DataFrame:
     """Contract-report candidates from day statistics joined to card profiles."""
-    if compat == LEGACY:
-        keep = _no(F.col("max_late_ts") > F.col("_ct"))
-        check = _no(F.col("has_midnight") & (F.col("event_dt").cast(TS) > F.col("_ct")))
-    else:
-        keep, check = _no(F.col("max_ts") > F.col("_ct")), F.lit(False)
-    # Implied by keep or check; it also keeps the day statistics identical to the
-    # passport report's, so a run computing both reuses one exchange for them.
-    stats = stats.where(F.col("max_ts") > F.col("_ct"))
-    return stats.select("event_dt", "passport", "fio", "phone", keep.alias("keep"),
-                        check.alias("check"))
+    return _candidates(stats, contract_marks(compat))
 
 
 def _stats(trans, profiles, compat, stats=None):
+    """Day statistics joined to profiles. Operations without a time pass no test; they go here, for every
+    report alike, and not by filters that are inferred for some uses only (their plans would differ)."""
     day = merge_statistics(stats) if stats is not None else _day_stats(trans, late=compat == LEGACY)
-    return day.join(profiles, "card_num")
+    return day.where("event_dt IS NOT NULL AND max_ts IS NOT NULL").join(profiles, "card_num")
 
 
 # --- type 2: reports ---------------------------------------------------------------------------
@@ -305,11 +330,26 @@ def candidates(stats: DataFrame, profiles: DataFrame, event_type: str) -> DataFr
 def run_reports(trans: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                 blacklist: DataFrame, prior: DataFrame, run_ts,
                 compat: str = DEFAULT, stats: DataFrame | None = None) -> DataFrame:
-    """Both reports of one run, as the rows to append (passport report first)."""
-    r1 = passport_events(trans, cards, accounts, clients, blacklist, prior, run_ts, compat, stats)
-    seen = prior
-    if compat == LEGACY:
-        columns = ["event_dt", "passport", "event_type"]
-        seen = prior.select(*columns).unionByName(r1.select(*columns))
-    r2 = contract_events(trans, cards, accounts, clients, seen, run_ts, compat, stats)
-    return r1.unionByName(r2)
+    """Both reports of one run, as the rows to append (passport report first).
+
+    The same rows as ``passport_events`` and ``contract_events`` give, from one pass: one set of
+    profiles, one join with the statistics and one distinct of the candidates of both.
+    """
+    _check(compat)
+    profiles = card_profiles(cards, accounts, clients, blacklist, mark_known=True)
+    joined = _stats(trans, profiles, compat, stats)
+    keep_1, check_1 = passport_marks(compat)
+    keep_2, check_2 = contract_marks(compat)
+    both = _distinct_marks(joined.select(
+        "event_dt", *PERSON, (F.col("known") & keep_1).alias("keep_1"), (F.col("known") & check_1).alias("check_1"),
+        keep_2.alias("keep_2"), check_2.alias("check_2")), ["keep_1", "check_1", "keep_2", "check_2"])
+
+    def of(report: str) -> DataFrame:
+        keep, check = F.col(f"keep_{report}"), F.col(f"check_{report}")
+        return both.where(keep | check).select("event_dt", *PERSON, keep.alias("keep"), check.alias("check"))
+
+    # In legacy mode the contract report also sees this run's passport rows. Rows that ``prior`` suppresses may be
+    # among them here: ``prior`` holds their (passport, day) already, so they need no suppression of their own.
+    return (unreported(of("1"), prior, EVENT_PASSPORT, run_ts, compat)
+            .unionByName(unreported(of("2"), prior, EVENT_CONTRACT, run_ts, compat,
+                                    of("1") if compat == LEGACY else None)))

@@ -53,7 +53,8 @@ def type2_day(state: State, day: DayInputs, run_ts, compat: str = d2.DEFAULT) ->
     stg, keyed, out = _common(state, day, run_ts)
     for name, spec in DIMS.items():
         ts = day.terminals_ts if name == "terminals" and day.terminals_ts else run_ts
-        out[f"dim_{name}_hist"] = d2.apply_snapshot(state[f"dim_{name}_hist"], keyed[name], spec, ts, compat)
+        out[f"dim_{name}_hist"] = d2.apply_snapshot(state[f"dim_{name}_hist"], keyed[name], spec, ts, compat,
+                                                    check_unique=False)  # keyed rows are checked already
     out["fact_transactions"] = facts.append_new(state["fact_transactions"], stg["transactions"], "trans_id")
     found = reports.run_reports(out["fact_transactions"], *(out[f"dim_{d}_hist"] for d in ("cards", "accounts", "clients")),
                                 out["fact_passport_blacklist"], state["rep_fraud"], run_ts, compat)
